@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, cut, own_columns, word_count
+from .common import SPACE, WORD, cut, own_columns, setting, word_count
 
 BLOCK = 32
 SHARD = 4096
@@ -152,7 +152,9 @@ def pieces(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     parts = rows.filter("size > 0").withColumn("block", F.explode(F.sequence(low, high)))
     start = F.greatest(F.col("block") * BLOCK, F.col("at"))
     parts = parts.select("rkey", "nth", "sidx", "block", (start - F.col("at")).alias("start"), (F.least((F.col("block") + 1) * BLOCK, F.col("at") + F.col("size")) - start).alias("words"))
-    taken = slots(sources).groupBy("sidx", "block").agg(F.count("*").alias("times"))
+    # the rounds of a permutation are a chain of aliases, over which inferring constraints grows exponentially
+    with setting(docs.sparkSession, "spark.sql.constraintPropagation.enabled", "false"):
+        taken = cut(slots(sources).groupBy("sidx", "block").agg(F.count("*").alias("times")))
     return rows, sources, parts.join(taken, ["sidx", "block"]).select("rkey", "nth", "start", "words", "times")
 
 
