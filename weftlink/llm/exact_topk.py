@@ -133,7 +133,7 @@ BLOCKS = "dim int, block long, qkey binary, q_id binary, q binary"
 FOUND = "dim int, query_id long, qkey long, vec_id long, score long"
 
 
-def _trees(key, table: pa.Table) -> pa.Table:
+def _trees(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     dim = table.column("dim")[0].as_py()
     x = np.array(table.column("vec").to_pylist(), np.int64).reshape(table.num_rows, dim)
     ids = table.column("vec_id").to_numpy()
@@ -145,7 +145,7 @@ def _trees(key, table: pa.Table) -> pa.Table:
     return pa.table([pa.array([v], t) for v, t in zip(row, types, strict=True)], [c.split()[0] for c in TREE.split(", ")])
 
 
-def _query_block(key, table: pa.Table) -> pa.Table:
+def _query_block(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     dim = table.column("dim")[0].as_py()
     table = table.sort_by([("vec_id", "ascending"), ("qkey", "ascending")])
     q = np.array(table.column("vec").to_pylist(), np.int64)

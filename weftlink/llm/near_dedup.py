@@ -188,7 +188,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([a.take(at), b.take(at)], ["a", "b"])
 
 
-def _block_links(key, table: pa.Table) -> pa.Table:
+def _block_links(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Links between the stragglers and the members of one block, found by counting shared shingles through posting lists."""
     rows = table.to_pydict()
     seqs = [_sequence(t) for t in rows["text"]]
