@@ -1,2 +1,261 @@
-QUERIES = {}
-ORACLES = {}
+"""Registered queries over the derived companies."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import normalize as nm
+from ..functions.similarity import fuzzy, lev_sim
+from ..operators import assign, blocking, evaluate, features, scoring
+from ..sources import fixtures, tsv
+from . import pipeline
+from .oracles import ORACLES  # noqa: F401
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+S2, S3 = 0.70, 0.75
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _records(spark, d):
+    s1, t = fixtures.sources(spark, d)
+    return s1.unionByName(t)
+
+
+def _sides(spark, d):
+    s1, t = fixtures.sources(spark, d)
+    return nm.normalize(s1), nm.normalize(t)
+
+
+def _scores(spark, d):
+    return pipeline.scored(*_sides(spark, d))
+
+
+def _rounded(df, *names):
+    return df.select(*names[:2], *[F.round(F.col(c).cast("double"), 6).alias(c) for c in names[2:]])
+
+
+@query
+def record_scan(spark, d):
+    return _records(spark, d).select(*tsv.FIELDS)
+
+
+@query
+def clean_string(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.select("doc_id", nm.clean(F.col("text")).alias("cleaned"))
+
+
+@query
+def normalize_name(spark, d):
+    return nm.normalize(_records(spark, d)).select("entity_id", "clean_name", "core_name", nm.token_sorted(F.col("clean_name")).alias("sorted_name"))
+
+
+@query
+def normalize_address(spark, d):
+    return nm.normalize(_records(spark, d)).select("entity_id", "clean_addr")
+
+
+@query
+def extract_numbers(spark, d):
+    return nm.normalize(_records(spark, d)).select("entity_id", F.array_join("nums", ",").alias("nums"), "primary_num")
+
+
+@query
+def char_ngrams(spark, d):
+    return nm.normalize(_records(spark, d)).select("entity_id", F.array_join(F.array_sort(nm.char_ngrams(F.col("core_name"))), ",").alias("grams"))
+
+
+@query
+def country_share(spark, d):
+    return tsv.country_share(fixtures.sources(spark, d)[0])
+
+
+@query
+def distinct_countries(spark, d):
+    return tsv.countries(fixtures.sources(spark, d)[0])
+
+
+@query
+def ground_truth_links(spark, d):
+    return fixtures.truth(spark, d)
+
+
+@query
+def blocking_keys_name(spark, d):
+    return blocking.blocking_keys(nm.normalize(_records(spark, d)), address=False)
+
+
+@query
+def blocking_keys_address(spark, d):
+    return blocking.blocking_keys(nm.normalize(_records(spark, d)), name=False)
+
+
+@query
+def blocking_keys_all(spark, d):
+    return blocking.blocking_keys(nm.normalize(_records(spark, d)))
+
+
+@query
+def key_frequency(spark, d):
+    return blocking.key_frequency(blocking.blocking_keys(_sides(spark, d)[1]))
+
+
+@query
+def active_keys(spark, d):
+    return blocking.active_keys(blocking.blocking_keys(_sides(spark, d)[1])).select("entity_id", "country", "ktype", "kval")
+
+
+@query
+def candidate_pairs(spark, d):
+    s1, t = _sides(spark, d)
+    return blocking.candidate_pairs(blocking.blocking_keys(s1), blocking.active_keys(blocking.blocking_keys(t)))
+
+
+@query
+def candidate_topk(spark, d):
+    return pipeline.candidates(*_sides(spark, d)).select("country", "s1_id", "tid", "shared_keys", "rank")
+
+
+@query
+def candidate_list(spark, d):
+    s1, t = _sides(spark, d)
+    return blocking.candidate_lists(s1, pipeline.candidates(s1, t))
+
+
+@query
+def candidate_recall(spark, d):
+    return blocking.candidate_recall(fixtures.truth(spark, d), pipeline.candidates(*_sides(spark, d)))
+
+
+def _pairs(spark, d):
+    s1, t = _sides(spark, d)
+    return features.pair_sides(pipeline.candidates(s1, t), s1, t)
+
+
+@query
+def sim_levenshtein(spark, d):
+    return _pairs(spark, d).select("s1_id", "tid", F.round(lev_sim(F.col("clean_name1"), F.col("clean_name2")), 6).alias("sim"))
+
+
+@query
+def sim_jaro_winkler(spark, d):
+    return _pairs(spark, d).select("s1_id", "tid", F.round(fuzzy("clean_name1", "clean_name2")["jw"], 6).alias("sim"))
+
+
+@query
+def sim_token_ratios(spark, d):
+    f = _pairs(spark, d).select("s1_id", "tid", fuzzy("clean_name1", "clean_name2").alias("f"))
+    return f.select("s1_id", "tid", F.round("f.tsort", 6).alias("token_sort"), F.round("f.tset", 6).alias("token_set"))
+
+
+@query
+def features_native(spark, d):
+    """The features that stay in the JVM."""
+    return _rounded(pipeline.pair_features(*_sides(spark, d)), "s1_id", "tid", *[f for f in features.FEATURES if f not in features.PYTHON])
+
+
+@query
+def features_all(spark, d):
+    return _rounded(pipeline.pair_features(*_sides(spark, d), python=True), "s1_id", "tid", *features.FEATURES)
+
+
+@query
+def score_linear(spark, d):
+    return _rounded(scoring.linear(pipeline.pair_features(*_sides(spark, d))), "s1_id", "tid", "prob")
+
+
+@query
+def number_penalty(spark, d):
+    return _rounded(_scores(spark, d), "s1_id", "tid", "prob")
+
+
+@query
+def threshold_filter(spark, d):
+    return _rounded(assign.above_threshold(_scores(spark, d), S2, S3), "s1_id", "tid", "prob")
+
+
+@query
+def target_assignment(spark, d):
+    return _rounded(assign.assign_targets(_scores(spark, d), S2, S3), "s1_id", "tid", "prob")
+
+
+@query
+def matching_results(spark, d):
+    return pipeline.match(*fixtures.sources(spark, d), S2, S3).select("s1_id", "matched")
+
+
+@query
+def singletons(spark, d):
+    return pipeline.match(*fixtures.sources(spark, d), S2, S3).filter("matched = ''").select("s1_id")
+
+
+def _counts(spark, d):
+    s1, _ = fixtures.sources(spark, d)
+    return evaluate.entity_counts(s1, fixtures.truth(spark, d), assign.assign_targets(_scores(spark, d), S2, S3))
+
+
+@query
+def entity_f05(spark, d):
+    return _counts(spark, d).select("s1_id", F.round(evaluate.f05(F.col("tp"), F.col("n_true"), F.col("n_pred")), 6).alias("f05"))
+
+
+@query
+def evaluation_metrics(spark, d):
+    return evaluate.metrics(_counts(spark, d))
+
+
+@query
+def country_stats(spark, d):
+    s1, t = fixtures.sources(spark, d)
+    matched = assign.assign_targets(pipeline.scored(nm.normalize(s1), nm.normalize(t)), S2, S3).groupBy("s1_id").agg(F.count("*").alias("n"))
+    rows = s1.select("country", F.col("entity_id").alias("s1_id")).join(matched, "s1_id", "left")
+    out = rows.groupBy("country").agg(F.count("*").alias("total_s1"), F.count_if(F.col("n").isNull()).alias("singletons"), F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("matched_links"))
+    return out.withColumns({"singleton_pct": F.round(100 * F.col("singletons") / F.col("total_s1"), 6), "avg_matches": F.round(F.col("matched_links") / F.col("total_s1"), 6)})
+
+
+@query
+def run_totals(spark, d):
+    s2 = F.col("tid").startswith("S2-")
+    return assign.assign_targets(_scores(spark, d), S2, S3).agg(F.count("*").alias("matches"), F.count_if(s2).alias("s2_matches"), F.count_if(~s2).alias("s3_matches"), F.count_distinct("s1_id").alias("matched_entities"))
+
+
+@query
+def grid_global(spark, d):
+    return evaluate.best_global(fixtures.sources(spark, d)[0], fixtures.truth(spark, d), _scores(spark, d))
+
+
+@query
+def grid_source(spark, d):
+    return evaluate.best_by_source(fixtures.sources(spark, d)[0], fixtures.truth(spark, d), _scores(spark, d))
+
+
+def _boosted(spark, d, kind):
+    s1, t = _sides(spark, d)
+    truth = fixtures.truth(spark, d).withColumn("label", F.lit(1.0))
+    rows = pipeline.pair_features(s1, t, python=True).join(truth, ["s1_id", "tid"], "left").fillna(0.0, ["label"]).persist()
+    model = scoring.Matcher(kind, maxIter=5, maxDepth=4, stepSize=0.3).fit(rows)
+    return scoring.number_penalty(model.score(rows))
+
+
+@query
+def gbt_scores(spark, d):
+    """Boosted scores of all candidates, few rounds."""
+    return _boosted(spark, d, "xgboost").select("s1_id", "tid", F.round("prob", 6).alias("prob"))
+
+
+@query
+def gbt_matches(spark, d):
+    return assign.assign_targets(_boosted(spark, d, "xgboost"), S2, S3).select("s1_id", "tid")
+
+
+@query
+def lgbm_preset_scores(spark, d):
+    return _boosted(spark, d, "lightgbm").select("s1_id", "tid", F.round("prob", 6).alias("prob"))

@@ -1,0 +1 @@
+"""Linkage is a batch job; nothing here keeps state over a stream."""
