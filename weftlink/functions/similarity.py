@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def lev_sim(a: Column, b: Column) -> Column:
@@ -72,7 +73,10 @@ def token_set(a: str, b: str) -> float:
     return best
 
 
-@F.pandas_udf("struct<jw:double,tsort:double,tset:double>")
+SCORES = StructType([StructField(x, DoubleType()) for x in ("jw", "tsort", "tset")])
+
+
+@F.pandas_udf(SCORES)
 def fuzzy(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Jaro-Winkler, sorted-token and token-set similarity of two columns; 0 where either is empty."""
     done: dict[tuple[str, str], tuple[float, float, float]] = {}
