@@ -140,8 +140,10 @@ def slots(sources: DataFrame) -> DataFrame:
     """(shard, sidx, q, block): what each slot of each output shard reads."""
     counts = shard_counts(sources)
     first = F.coalesce(F.sum("n").over(Window.partitionBy("sidx").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
-    each = _spread(counts.withColumn("first", first), "n", "i").withColumn("q", F.col("first") + F.col("i"))
-    each = each.join(sources.select("sidx", "blocks"), "sidx").withColumn("block", F.col("q") % F.col("blocks"))
+    # joined before the spread: its rows grow with the input, but their estimate doesn't, and a broadcast of them would follow
+    counts = counts.withColumn("first", first).join(sources.select("sidx", "blocks"), "sidx")
+    each = _spread(counts, "n", "i").withColumn("q", F.col("first") + F.col("i"))
+    each = each.withColumn("block", F.col("q") % F.col("blocks"))
     return permuted(each, "block", "blocks", F.col("sidx") * 7919 + F.expr("q div blocks") * 104729 + 17, 1).select("shard", "sidx", "q", "block")
 
 
@@ -155,7 +157,7 @@ def pieces(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     # the rounds of a permutation are a chain of aliases, over which inferring constraints grows exponentially
     with setting(docs.sparkSession, "spark.sql.constraintPropagation.enabled", "false"):
         taken = cut(slots(sources).groupBy("sidx", "block").agg(F.count("*").alias("times")))
-    return rows, sources, parts.join(taken, ["sidx", "block"]).select("rkey", "nth", "start", "words", "times")
+    return rows, sources, parts.join(taken.hint("merge"), ["sidx", "block"]).select("rkey", "nth", "start", "words", "times")
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -168,7 +170,7 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     rows, sources, parts = pieces(docs)
     taken = parts.groupBy("rkey", "nth").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = rows.join(taken, ["rkey", "nth"], "left").join(sources.select("sidx", "source_size", "target"), "sidx")
+    out = rows.join(taken.hint("merge"), ["rkey", "nth"], "left").join(sources.select("sidx", "source_size", "target"), "sidx")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
