@@ -41,10 +41,14 @@ def name_keys(n: Column, core: Column) -> list[Column]:
     ]
 
 
-def address_keys(n: Column, a: Column, nums: Column) -> list[Column]:
-    """Keys that use the expanded address's words a and numbers, some with the name's first words."""
+def rare_words(a: Column) -> Column:
+    """The address words that aren't common, short or numbers."""
     common = words_literal(sorted(set(lx.COMMON_ADDRESS_WORDS)))
-    rare = F.filter(a, lambda t: ~F.array_contains(common, t) & (F.length(t) >= 3) & ~t.rlike("^[0-9]+$"))
+    return F.filter(a, lambda t: ~F.array_contains(common, t) & (F.length(t) >= 3) & ~t.rlike("^[0-9]+$"))
+
+
+def address_keys(n: Column, a: Column, rare: Column, nums: Column) -> list[Column]:
+    """Keys that use the expanded address's words a, the rare ones of them, and numbers, some with the name's first words."""
     last, second = F.try_element_at(a, F.lit(-1)), F.try_element_at(a, F.lit(-2))
     one, two = F.try_element_at(n, F.lit(1)), F.try_element_at(n, F.lit(2))
     has = F.size(nums) > 0
@@ -72,7 +76,9 @@ def address_keys(n: Column, a: Column, nums: Column) -> list[Column]:
 def blocking_keys(normalized: DataFrame, name: bool = True, address: bool = True) -> DataFrame:
     """(entity_id, country, ktype, kval): the distinct keys of each normalised record."""
     rows = normalized.select("entity_id", "country", "core_name", tokens(F.col("core_name")).alias("n"), tokens(F.col("clean_addr")).alias("a"), "nums")
-    made = (name_keys(F.col("n"), F.col("core_name")) if name else []) + (address_keys(F.col("n"), F.col("a"), F.col("nums")) if address else [])
+    # a column of its own: the keys name it some twenty times
+    rows = rows.withColumn("rare", rare_words(F.col("a")))
+    made = (name_keys(F.col("n"), F.col("core_name")) if name else []) + (address_keys(F.col("n"), F.col("a"), F.col("rare"), F.col("nums")) if address else [])
     return rows.select("entity_id", "country", F.inline(F.array_distinct(F.concat(*made))))
 
 

@@ -30,8 +30,7 @@ def _records(spark, d):
 
 
 def _sides(spark, d):
-    s1, t = fixtures.sources(spark, d)
-    return nm.normalize(s1), nm.normalize(t)
+    return pipeline.normalized(*fixtures.sources(spark, d))
 
 
 def _scores(spark, d):
@@ -136,8 +135,7 @@ def candidate_recall(spark, d):
 
 
 def _pairs(spark, d):
-    s1, t = _sides(spark, d)
-    return features.pair_sides(pipeline.candidates(s1, t), s1, t)
+    return pipeline.pairs(*_sides(spark, d))
 
 
 @query
@@ -215,7 +213,7 @@ def evaluation_metrics(spark, d):
 @query
 def country_stats(spark, d):
     s1, t = fixtures.sources(spark, d)
-    matched = assign.assign_targets(pipeline.scored(nm.normalize(s1), nm.normalize(t)), S2, S3).groupBy("s1_id").agg(F.count("*").alias("n"))
+    matched = assign.assign_targets(pipeline.scored(*pipeline.normalized(s1, t)), S2, S3).groupBy("s1_id").agg(F.count("*").alias("n"))
     rows = s1.select("country", F.col("entity_id").alias("s1_id")).join(matched, "s1_id", "left")
     out = rows.groupBy("country").agg(F.count("*").alias("total_s1"), F.count_if(F.col("n").isNull()).alias("singletons"), F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("matched_links"))
     return out.withColumns({"singleton_pct": F.round(100 * F.col("singletons") / F.col("total_s1"), 6), "avg_matches": F.round(F.col("matched_links") / F.col("total_s1"), 6)})

@@ -1,4 +1,4 @@
-"""The linkage job: normalise, block, score, assign. Every step is lazy; what several steps read is kept by the caller."""
+"""The linkage job: normalise, block, score, assign. Normalised records and pairs are computed once; the other steps are lazy."""
 
 from __future__ import annotations
 
@@ -8,6 +8,17 @@ from pyspark.sql import DataFrame
 
 from ..functions.normalize import normalize
 from ..operators import assign, blocking, features, scoring
+from .stages import kept
+
+
+def normalized(s1_records: DataFrame, target_records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides normalised once: blocking, features and assignment read them again."""
+    return kept(normalize(s1_records)), kept(normalize(target_records))
+
+
+def pairs(s1: DataFrame, targets: DataFrame, k: int = blocking.TOP_K) -> DataFrame:
+    """Top candidates with both sides' fields. Kept, so the feature expressions aren't planned anew after each shuffle."""
+    return kept(features.pair_sides(candidates(s1, targets, k), s1, targets))
 
 
 def candidates(s1: DataFrame, targets: DataFrame, k: int = blocking.TOP_K) -> DataFrame:
@@ -17,7 +28,7 @@ def candidates(s1: DataFrame, targets: DataFrame, k: int = blocking.TOP_K) -> Da
 
 
 def pair_features(s1: DataFrame, targets: DataFrame, python: bool = False, k: int = blocking.TOP_K) -> DataFrame:
-    return features.features(features.pair_sides(candidates(s1, targets, k), s1, targets), python)
+    return features.features(pairs(s1, targets, k), python)
 
 
 def scored(s1: DataFrame, targets: DataFrame, scorer: Callable[[DataFrame], DataFrame] = scoring.linear, python: bool = False) -> DataFrame:
@@ -28,5 +39,5 @@ def scored(s1: DataFrame, targets: DataFrame, scorer: Callable[[DataFrame], Data
 
 def match(s1_records: DataFrame, target_records: DataFrame, s2: float = 0.70, s3: float = 0.75) -> DataFrame:
     """(s1_id, ordinal, matched) for every reference record."""
-    s1, targets = normalize(s1_records), normalize(target_records)
+    s1, targets = normalized(s1_records, target_records)
     return assign.match_lists(s1, assign.assign_targets(scored(s1, targets), s2, s3))
