@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 #: Characters that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+SEPARATOR = r"[\x20\x09-\x0D]"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +21,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder that the cluster shares (spark.checkpoint.dir). Where it is unset, a temporary one in local mode, as in tests; an error on a cluster."""
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="weftlink-"))
-        root = spark.sparkContext.getCheckpointDir()
+        if context.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="weftlink-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -71,3 +74,32 @@ def word_count(text: Column) -> Column:
 
 def own_columns(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
+
+
+#: Rows that a broadcast side may have; counted before it is used.
+FEW = 100_000
+#: Parts into which a side is dealt that meets one that is too long to broadcast.
+SALTS = 16
+
+
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """df as one struct column, row, beside the columns given: whatever df's columns are called, nothing clashes. unpacked undoes it."""
+    return df.select(F.struct(*own_columns(df)).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
+def settled(df: DataFrame, *names: str) -> DataFrame:
+    """df whose columns ``names`` are computed once a row: later filters aren't pushed below them, where they would hold every expression anew."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*kept, F.inline(F.array(F.struct(*names))))
+
+
+def beside(rows: DataFrame, side: DataFrame, count: int, key: str, spread: Column) -> DataFrame:
+    """rows joined to side, which has one row per key (count of them): broadcast if it is short, else with the rows of a key dealt over SALTS tasks by spread."""
+    if count <= FEW:
+        return rows.join(F.broadcast(side), key)
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("__salt")
+    return rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("long")).join(side.select("*", salts), [key, "__salt"]).drop("__salt")

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, cut, own_columns
+from .common import SEPARATOR, WORD, cut, packed, settled, unpacked
 
 RISK = 0.01
 CONFIDENCE_LEFT = 0.05
@@ -33,21 +33,23 @@ BASE_WORDS = 10
 BASE_REPEAT = 20
 
 
+#: The names of what signals adds.
+SIGNALS = ("q_words", "q_word_chars", "q_symbols", "q_dup_lines", "q_lines", "q_capitals", "q_repeat_words")
+
+
 def signals(docs: DataFrame, repeats: bool = True) -> DataFrame:
-    """docs with the columns q_words, q_word_chars, q_symbols, q_dup_lines, q_lines, q_capitals and, if asked for, q_repeat_words. Null text counts as empty."""
+    """docs (any columns but those named q_...) with SIGNALS; without q_repeat_words unless repeats. Null text counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.withColumns({
-        "q_w": F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)),
-        "q_l": F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)),
-        "q_symbols": F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long"),
-        "q_capitals": F.length(F.regexp_replace(text, r"[^A-Z]+", "")).cast("long"),
-        "q_word_chars": F.length(F.regexp_replace(text, SPACE, "")).cast("long"),
-    })
+    out = docs.withColumns({"q_parts": F.split(text, SEPARATOR), "q_l": F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))})
     out = out.withColumns({
-        "q_words": F.size("q_w").cast("long"),
+        "q_w": F.array_remove("q_parts", ""),
+        "q_word_chars": (F.length(text) - F.size("q_parts") + 1).cast("long"),
+        "q_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
+        "q_capitals": F.regexp_count(text, F.lit("[A-Z]")).cast("long"),
         "q_lines": F.size("q_l").cast("long"),
         "q_dup_lines": (F.size("q_l") - F.size(F.array_distinct("q_l"))).cast("long"),
-    })
+    }).drop("q_parts", "q_l")
+    out = out.withColumn("q_words", F.size("q_w").cast("long"))
     if repeats:
         n = F.greatest(F.size("q_w") - (SPAN - 1), F.lit(0))
         windows = F.arrays_zip(*[F.slice("q_w", i + 1, n).alias(f"w{i}") for i in range(SPAN)])
@@ -64,7 +66,7 @@ def signals(docs: DataFrame, repeats: bool = True) -> DataFrame:
         covered = F.aggregate(gaps, F.lit(0).cast("long"), lambda acc, x: acc + F.least(F.lit(SPAN), F.coalesce(x["b"] - x["a"], F.lit(SPAN))))
         out = out.withColumn("q_repeat_words", F.when(F.col("q_some"), covered).otherwise(F.lit(0).cast("long")))
         out = out.drop("q_h", "q_some", "q_s", "q_n", "q_p")
-    return out.drop("q_w", "q_l")
+    return out.drop("q_w")
 
 
 PARTS = {"n_symbols": "q_symbols", "word_chars": "q_word_chars", "n_dup_lines": "q_dup_lines", "n_lines": "q_lines", "n_capitals": "q_capitals"}
@@ -141,8 +143,8 @@ def verdict(stratum: Column, found: list[Row]) -> Column:
 
 
 def stratum_of(docs: DataFrame) -> Column:
-    """The language; rows without one are the stratum ''."""
-    return F.coalesce(F.col("lang"), F.lit(""))
+    """The language; null is a stratum of its own, apart from every text."""
+    return F.when(F.col("lang").isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col("lang")))
 
 
 def base_failed() -> Column:
@@ -173,7 +175,13 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that judge keeps, with docs' columns. The text is read twice rather than shuffled."""
+    """The rows of docs that judge keeps, with docs' columns, whatever they are called; repeated rows stay together or go together.
+
+    Null and empty texts go, as they fail the base. The text is read twice rather
+    than shuffled or kept twice: once for the counts that the rules are certified
+    on, once for the verdict.
+    """
     light = signals(docs.select("doc_id", "text", stratum_of(docs).alias("stratum")), repeats=False).drop("text")
     found = certify(light.join(good_ids(labels), "doc_id"))
-    return signals(docs).filter(~base_failed() & verdict(stratum_of(docs), found)).select(*own_columns(docs))
+    rows = settled(signals(packed(docs, text=F.col("text"), stratum=stratum_of(docs))).drop("text"), *SIGNALS)
+    return unpacked(rows.filter(~base_failed() & verdict(F.col("stratum"), found)))
