@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, cut, own_columns, setting, word_count
+from .common import SPACE, WORD, beside, cut, packed, setting, unpacked, word_count
 
 BLOCK = 32
 SHARD = 4096
@@ -110,7 +110,7 @@ def stream(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = rows.agg(F.sum("copies")).first()[0] or 0
     bits = max(0, (n // BUCKET).bit_length())
     rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).withColumn("skey", source_key())
-    rows = rows.join(sources.select(source_key().alias("skey"), "sidx"), "skey").drop("skey", "copies")
+    rows = beside(rows, sources.select(source_key().alias("skey"), "sidx"), sources.count(), "skey", F.col("rkey")).drop("skey", "copies")
     spot = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("spot", spot).withColumn("bucket", F.shiftright("spot", 32 - bits) if bits else F.lit(0).cast("long"))
     ahead = rows.groupBy("sidx", "bucket").agg(F.sum("size").alias("words")).withColumn(
@@ -122,16 +122,22 @@ def stream(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut(rows.select("rkey", "nth", "doc_id", "source", "size", "sidx", "at")), sources
 
 
-def _spread(df: DataFrame, count: str, out: str) -> DataFrame:
-    """df with a row for each number 0 to count - 1, by runs that are dealt out before they are spread."""
+def _spread(df: DataFrame, count: str, out: str, total: int) -> DataFrame:
+    """df with a row for each number 0 to count - 1, total of them in all, by runs that are dealt out before they are spread.
+
+    The number of parts follows the rows that will be made, not those that are dealt,
+    which are too few and small for a size-based choice.
+    """
+    parts = min(max(1, total >> 16), max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total >> 22))
     runs = df.filter(F.col(count) > 0).withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / RUN))))
-    runs = runs.repartition(F.col("sidx"), F.col("__run"), *([F.col("shard")] if "shard" in df.columns else []))
+    runs = runs.repartition(parts, F.col("sidx"), F.col("__run"), *([F.col("shard")] if "shard" in df.columns else []))
     return runs.withColumn(out, F.explode(F.sequence(F.col("__run") * RUN, F.least(F.col(count), (F.col("__run") + 1) * RUN) - 1))).drop("__run")
 
 
 def shard_counts(sources: DataFrame) -> DataFrame:
     """(sidx, shard, n): the multinomial draw of each output shard's slots among the sources, conditioned on the targets."""
-    urn = _spread(sources.select("sidx", "slots", "urn", "all_slots"), "slots", "i").withColumn("x", F.col("urn") + F.col("i"))
+    total = sources.agg(F.max("all_slots")).first()[0] or 0
+    urn = _spread(sources.select("sidx", "slots", "urn", "all_slots"), "slots", "i", total).withColumn("x", F.col("urn") + F.col("i"))
     drawn = permuted(urn, "x", "all_slots", F.lit(12345), 0)
     return drawn.groupBy("sidx", F.expr(f"x div {SHARD}").alias("shard")).agg(F.count("*").alias("n"))
 
@@ -141,8 +147,8 @@ def slots(sources: DataFrame) -> DataFrame:
     counts = shard_counts(sources)
     first = F.coalesce(F.sum("n").over(Window.partitionBy("sidx").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
     # joined before the spread: its rows grow with the input, but their estimate doesn't, and a broadcast of them would follow
-    counts = counts.withColumn("first", first).join(sources.select("sidx", "blocks"), "sidx")
-    each = _spread(counts, "n", "i").withColumn("q", F.col("first") + F.col("i"))
+    counts = cut(counts.withColumn("first", first).join(sources.select("sidx", "blocks"), "sidx"))
+    each = _spread(counts, "n", "i", sources.agg(F.max("all_slots")).first()[0] or 0).withColumn("q", F.col("first") + F.col("i"))
     each = each.withColumn("block", F.col("q") % F.col("blocks"))
     return permuted(each, "block", "blocks", F.col("sidx") * 7919 + F.expr("q div blocks") * 104729 + 17, 1).select("shard", "sidx", "q", "block")
 
@@ -170,7 +176,8 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     rows, sources, parts = pieces(docs)
     taken = parts.groupBy("rkey", "nth").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = rows.join(taken.hint("merge"), ["rkey", "nth"], "left").join(sources.select("sidx", "source_size", "target"), "sidx")
+    out = rows.join(taken.hint("merge"), ["rkey", "nth"], "left")
+    out = beside(out, sources.select("sidx", "source_size", "target"), sources.count(), "sidx", F.col("rkey"))
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -178,18 +185,23 @@ def mixed_rows(docs: DataFrame) -> DataFrame:
     """The mix as rows of docs: a row for each pass in which the mix takes words of it, its text cut to them, n_chars counted anew.
 
     A row that is taken whole keeps its text as it is; otherwise what stands between
-    the words taken goes with the word before it. Rows of which nothing is taken go.
+    the words taken goes with the word before it. Rows of which nothing is taken go,
+    as do null and empty texts. Copies of a row are taken each on its own. Columns may
+    have any names.
     """
     rows, _, parts = pieces(docs)
     passes = parts.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     cuts = passes.groupBy("rkey", "nth", "pass").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("cuts"), F.sum("words").alias("words"))
-    cuts = cuts.join(rows.select("rkey", "nth", "size"), ["rkey", "nth"]).select(F.col("rkey").alias("__rkey"), "pass", F.col("cuts").alias("__cuts"), (F.col("words") == F.col("size")).alias("__whole"))
-    marked = docs.withColumn("__rkey", text_key(docs)).dropDuplicates(["__rkey"])
-    joined = marked.join(cuts, "__rkey")
-    tokens = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD}(?:{SPACE})?)"), F.lit(1))
-    part = F.array_join(F.flatten(F.transform("__cuts", lambda c: F.slice(F.col("__tokens"), (c["start"] + 1).cast("int"), c["words"].cast("int")))), "")
-    joined = joined.withColumn("__tokens", F.when(~F.col("__whole"), tokens))
-    out = joined.withColumn("text", F.when(F.col("__whole"), F.col("text")).otherwise(part))
+    cuts = cuts.join(rows.select("rkey", "nth", "size"), ["rkey", "nth"]).select("rkey", "cuts", (F.col("words") == F.col("size")).alias("whole"))
+    # dealt by the key of the join first, so that the text is shuffled and sorted once
+    marked = packed(docs, rkey=text_key(docs)).repartition("rkey").dropDuplicates(["rkey"])
+    joined = marked.join(cuts.hint("merge"), "rkey")
+    tokens = F.regexp_extract_all(F.col("row.text"), F.lit(f"({WORD}(?:{SPACE})?)"), F.lit(1))
+    # the tokens are bound to x once a row; named inside the inner function, they would be found anew for every cut
+    bound = F.array(F.struct(tokens.alias("t"), F.col("cuts").alias("c")))
+    part = F.transform(bound, lambda x: F.array_join(F.flatten(F.transform(x["c"], lambda c: F.slice(x["t"], (c["start"] + 1).cast("int"), c["words"].cast("int")))), ""))[0]
+    out = joined.withColumn("text", F.when(F.col("whole"), F.col("row.text")).otherwise(part))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*own_columns(docs))
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
