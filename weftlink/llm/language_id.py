@@ -8,7 +8,6 @@ all windows, weighted by their bytes, make the text's.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,11 +22,10 @@ from .textkit import row_chunks, text_bytes
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 WINDOW = 128
-#: Rows of training text at most, and characters of each: the documented bound of the training sample.
-TRAIN_ROWS = 4000
-TRAIN_CHARS = 512
-EPOCHS = 4
-LETTER = re.compile(r"[^\W\d_]")
+#: Rows of training text at most: the documented bound of the training sample. Their texts are whole.
+TRAIN_ROWS = 2000
+#: Windows that training looks at, drawn from all windows of the sample.
+LOOKS = 64_000
 CHUNK = 1 << 18
 
 
@@ -87,17 +85,17 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> ByteConv | None:
         return None
     rng = np.random.default_rng(seed)
     y_of = {c: i for i, c in enumerate(classes)}
-    rows, ys = [], []
-    for t, lang in zip(texts, langs, strict=True):
-        b = t.encode("utf-8", "surrogatepass")
-        for at in range(0, len(b), WINDOW):
-            part = b[at : at + WINDOW]
-            if at and len(part) < WINDOW // 2:
-                break
-            if rng.random() < 0.25:
-                part = part[: int(rng.integers(6, WINDOW))]
-            rows.append(np.frombuffer(part.ljust(WINDOW, b"\0"), np.uint8))
-            ys.append(y_of[lang])
+    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(b) for b in parts])]).astype(np.int64)
+    raw = np.frombuffer(b"".join(parts), np.uint8)
+    # windows of all texts; a rest shorter than half a window counts only where it is the whole text
+    count = np.diff(offsets) // WINDOW
+    rest = np.diff(offsets) % WINDOW
+    count += (rest >= WINDOW // 2) | ((count == 0) & (rest > 0))
+    owner = np.repeat(np.arange(len(parts)), count)
+    begin = offsets[:-1][owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) * WINDOW
+    length = np.minimum(begin + WINDOW, offsets[1:][owner]) - begin
+    y = np.array([y_of[c] for c in langs], np.int64)[owner]
     net = ByteConv(
         classes,
         [np.zeros((w, 256, FILTERS), np.float32) for w in WIDTHS],
@@ -105,54 +103,67 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> ByteConv | None:
         rng.normal(0, 0.3, (len(WIDTHS) * FILTERS, len(classes))).astype(np.float32),
         np.zeros(len(classes), np.float32),
     )
-    if len(classes) == 1 or not rows:
+    if len(classes) == 1 or not len(owner):
         net.dense[:] = 0
         return net
-    x, y = np.stack(rows), np.array(ys)
-    used = np.flatnonzero(np.bincount(x.ravel(), minlength=256))
+    padded = np.concatenate([raw, np.zeros(WINDOW, np.uint8)])
+    used = np.flatnonzero(np.bincount(raw, minlength=256) + (np.arange(256) == 0))
     for f in net.filters:
         f[:, used] = rng.normal(0, 0.3, (len(f), len(used), FILTERS))
     weight = (len(y) / (len(classes) * np.bincount(y, minlength=len(classes)).clip(1))).astype(np.float32)
     params = [*net.filters, net.bias, net.dense, net.shift]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    step, size = 0, 128
-    epochs = min(60, max(EPOCHS, -(-400 * size // len(x))))
-    for epoch in range(epochs):
-        order = rng.permutation(len(x))
-        for low in range(0, len(x), size):
-            i = order[low : low + size]
-            best, place = net.responses(x[i])
-            p = net.head(best)
-            g = p.copy()
-            g[np.arange(len(i)), y[i]] -= 1
-            g *= (weight[y[i]] / len(i))[:, None]
-            hidden = np.maximum(best, 0)
-            back = (g @ net.dense.T) * (best > 0)
-            grads = []
-            for n, f in enumerate(net.filters):
-                cols = slice(n * FILTERS, (n + 1) * FILTERS)
-                df, at, gb = np.zeros_like(f), place[:, cols], back[:, cols]
-                unit = np.broadcast_to(np.arange(FILTERS), at.shape)
-                for k in range(len(f)):
-                    np.add.at(df[k], (x[i][np.arange(len(i))[:, None], at + k], unit), gb)
-                grads.append(df)
-            grads += [back.sum(0), hidden.T @ g, g.sum(0)]
-            step += 1
-            rate = 0.01 * (1 - 0.9 * epoch / epochs)
-            for q, (w, d) in enumerate(zip(params, grads, strict=True)):
-                first[q] += 0.1 * (d - first[q])
-                second[q] += 0.01 * (d * d - second[q])
-                w -= rate * (first[q] / (1 - 0.9**step)) / (np.sqrt(second[q] / (1 - 0.99**step)) + 1e-7)
+    size = 128
+    steps = LOOKS // size
+    order = np.zeros(0, np.int64)
+    for step in range(1, steps + 1):
+        while len(order) < size:  # every window once before any comes again
+            order = np.concatenate([order, rng.permutation(len(owner))])
+        i, order = order[:size], order[size:]
+        # a quarter of the windows are shortened, so that short texts are known too
+        short = np.where(rng.random(size) < 0.25, rng.integers(6, WINDOW, size), WINDOW)
+        x = padded[begin[i][:, None] + np.arange(WINDOW)]
+        x = np.where(np.arange(WINDOW) < np.minimum(short, length[i])[:, None], x, 0)
+        best, place = net.responses(x)
+        g = net.head(best)
+        g[np.arange(size), y[i]] -= 1
+        g *= (weight[y[i]] / size)[:, None]
+        hidden = np.maximum(best, 0)
+        back = (g @ net.dense.T) * (best > 0)
+        grads = []
+        for n, f in enumerate(net.filters):
+            cols = slice(n * FILTERS, (n + 1) * FILTERS)
+            df, at, gb = np.zeros_like(f), place[:, cols], back[:, cols]
+            unit = np.broadcast_to(np.arange(FILTERS), at.shape)
+            for k in range(len(f)):
+                np.add.at(df[k], (x[np.arange(size)[:, None], at + k], unit), gb)
+            grads.append(df)
+        grads += [back.sum(0), hidden.T @ g, g.sum(0)]
+        rate = 0.01 * (1 - 0.9 * step / steps)
+        for q, (w, d) in enumerate(zip(params, grads, strict=True)):
+            first[q] += 0.1 * (d - first[q])
+            second[q] += 0.01 * (d * d - second[q])
+            w -= rate * (first[q] / (1 - 0.9**step)) / (np.sqrt(second[q] / (1 - 0.99**step)) + 1e-7)
     return net
 
 
-def sample(docs: DataFrame, usable: Column, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> pd.DataFrame:
-    """At most ``rows`` labelled rows, those with the smallest id hashes, each with a slice of ``chars`` characters from a hashed place."""
-    spot = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.greatest(F.lit(1), F.length("text") - chars)).cast("int")
-    picked = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)).select(
-        F.xxhash64("doc_id").alias("__spot"), F.substring(F.col("text"), spot + 1, F.lit(chars)).alias("text"), "lang"
-    )
-    return picked.orderBy("__spot", "text", "lang").limit(rows).toPandas()
+def sample(docs: DataFrame, usable: Column, rows: int = TRAIN_ROWS) -> pd.DataFrame:
+    """At most ``rows`` labelled rows with their whole texts: those with the smallest hashes of id and text.
+
+    A first count over the narrow columns gives a bound on the hash, so that little
+    more than ``rows`` texts leave the executors, however many rows there are.
+    """
+    marked = docs.filter(usable & F.col("lang").isNotNull())
+    picked = marked.filter(F.length("text") > 0).select(F.xxhash64("doc_id", "text").alias("spot"), "text", "lang")
+    share = (1.2 * rows + 200) / max(1, marked.count())
+    if share < 1:
+        picked = picked.filter(F.col("spot") < int(-(2**63) + share * 2**64))
+    return picked.orderBy("spot", "text", "lang").limit(rows).toPandas()
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a character of the text is of a Unicode letter category."""
+    return text is not None and any(map(str.isalpha, text))
 
 
 def _scorer(net: ByteConv | None):
@@ -163,7 +174,7 @@ def _scorer(net: ByteConv | None):
         for b in batches:
             names, scores = [], []
             raw, offsets = text_bytes(b.column("text"))
-            has = [t is not None and LETTER.search(t) is not None for t in b.column("text").to_pylist()]
+            has = [has_letter(t) for t in b.column("text").to_pylist()]
             for low, high in row_chunks(offsets, CHUNK):
                 part, at = raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
                 if net is None:
@@ -213,8 +224,10 @@ def identify(docs: DataFrame, held_out: Column, usable: Column) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of docs; learns from rows where usable holds.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text
-    if no row can be learnt from. Repeated rows give repeated results. Reads doc_id,
-    text and, of rows to learn from, lang; no other column.
+    if no row can be learnt from. Texts of any length are read whole, window by
+    window. Repeated rows give repeated results, an empty table gives none, equal
+    class scores go to the language that sorts first. Reads doc_id, text and, of rows
+    to learn from, lang; no other column, whatever its name.
     """
     learn = sample(docs, usable)
     net = train(learn["text"].tolist(), learn["lang"].tolist())
