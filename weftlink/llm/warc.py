@@ -5,26 +5,31 @@ than SEGMENT bytes is written as a first segment and continuation records, which
 name the origin's record id and carry segment numbers; the last one carries the
 total length. The reader groups segments by origin, orders them by number, checks
 that they are complete and as long as promised, and undoes the chunk framing.
-Payloads that occur again are revisit records that refer to one response.
+Payloads that occur again are revisit records that refer to one response. Each record
+is a gzip member of its own, so that any of them can be read by its place in the file.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SEGMENT = 8192
 CHUNK = 4096
 #: With SEGMENT this bounds a file's size, and so what a reader holds at once.
 RECORDS_PER_FILE = 4096
+#: Parts into which the rows of one digest are dealt.
+SALTS = 16
 VERSION = b"WARC/1.1"
-END = "\r\n\r\n"
+#: The last byte of a gzip member, the highest of its size: records are shorter than 2**24 bytes.
+LAST = "\x00"
 
 
 def digest(payload: bytes) -> str:
@@ -63,16 +68,21 @@ def _clean(url: str) -> str:
     return "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
 
 
-def records(page_id: int | None, seq: int, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> Iterator[bytes]:
-    """The records of one page, each without the blank lines that end it."""
-    own = "none" if page_id is None else str(page_id)
-    rid = f"<urn:page:{own}:{seq}>"
-    fields = [("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Target-URI", _clean(url) if url else f"urn:page:{own}"), ("WARC-Payload-Digest", f"sha1:{digest(payload)}"), ("X-Payload-Length", str(len(payload)))]
+def record_id(page_id: int | None, payload_digest: str, url: str | None, nth: int) -> str:
+    """Rows that agree in all but nth are repeated rows, which are numbered from 0."""
+    return f"<urn:page:{'none' if page_id is None else page_id}:{payload_digest}:{zlib.crc32((url or '').encode()):08x}{'' if url is None else 'u'}:{nth}>"
+
+
+def records(page_id: int | None, url: str | None, payload: bytes, nth: int = 0, target: tuple[int, str | None] | None = None) -> Iterator[bytes]:
+    """The records of one page, each without the blank lines that end it; with target, the page_id and url of a response, a revisit of that."""
+    own, sha = "none" if page_id is None else str(page_id), digest(payload)
+    rid = record_id(page_id, sha, url, nth)
+    fields = [("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Target-URI", _clean(url) if url else f"urn:page:{own}"), ("WARC-Payload-Digest", f"sha1:{sha}"), ("X-Payload-Length", str(len(payload)))]
     if page_id is not None:
         fields.append(("X-Page-ID", own))
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-    if revisit:
-        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:page:{refers_to}>")]
+    if target is not None:
+        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(target[0], sha, target[1], 0)), ("X-Refers-To-Page-ID", str(target[0]))]
         yield _head([("WARC-Type", "revisit"), ("WARC-Record-ID", rid), *fields, ("Content-Length", str(len(http)))]) + http
         return
     block = http + frame(payload)
@@ -84,40 +94,53 @@ def records(page_id: int | None, seq: int, url: str | None, payload: bytes, refe
         yield _head([("WARC-Type", "continuation"), ("WARC-Record-ID", f"{rid[:-1]}:{n}>"), ("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Segment-Origin-ID", rid), ("WARC-Segment-Number", str(n)), *last, ("Content-Length", str(len(part)))]) + part
 
 
+def member(record: bytes) -> bytes:
+    """The record and its end as a gzip member, without the member's last byte, which is LAST."""
+    return gzip.compress(record + b"\r\n\r\n", 5, mtime=0)[:-1]
+
+
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out, held = [], 0
         for r in range(b.num_rows):
-            page_id, seq, url, payload, refers_to, revisit = (c[r].as_py() for c in b.columns)
-            for x in records(page_id, seq, url, payload, refers_to, revisit):
-                out.append(x)
-                held += len(x)
-            if held > 1 << 23:
-                yield pa.record_batch([pa.array(out, pa.binary())], ["record"])
-                out, held = [], 0
+            page_id, url, payload, copies, first, first_url, revisit = (c[r].as_py() for c in b.columns)
+            for nth in range(copies):
+                for x in records(page_id, url, payload, nth, (first, first_url) if revisit else None):
+                    out.append(member(x))
+                    held += len(out[-1])
+                if held > 1 << 22:
+                    yield pa.record_batch([pa.array(out, pa.binary())], ["record"])
+                    out, held = [], 0
         if out:
             yield pa.record_batch([pa.array(out, pa.binary())], ["record"])
 
 
 def write_archive(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Write a record per row of pages (page_id, url, html) into gzip files under path.
+    """Write a record per row of pages (page_id, url, html) into files of gzip members under path.
 
     Null html is an empty payload. Of equal payloads of at least least_bytes bytes,
     the rows with the largest page_id are responses and the others revisit it; rows
     with null page_id are responses if no equal payload has an id. Rows that repeat
     both id and payload share their type. A null url becomes the page's urn; control
-    characters and blanks in a url are percent-encoded.
+    characters and blanks in a url are percent-encoded. Payloads of any length are
+    written whole, in segments; an empty table gives an archive without records.
+    Other columns aren't read.
+
+    Payloads are shuffled and sorted once, by digest and a part of it by page_id, so
+    that a page that occurs everywhere isn't one task's.
     """
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
-    first = rows.filter(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.max("page_id").alias("first"))
-    dealt = rows.join(first, ["digest", "size"], "left")
-    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    out = dealt.select("page_id", F.monotonically_increasing_id().alias("seq"), "url", "payload", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
-    (
-        out.mapInArrow(_write, "record binary").select(F.col("record").cast("string"))
-        .write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
-    )
+    rows = rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload"), "salt": F.pmod(F.xxhash64("page_id"), F.lit(SALTS))})
+    keys = ["digest", "salt"]
+    seen = rows.filter(F.col("size") >= least_bytes).groupBy(*keys).agg(F.max(F.struct("page_id", "url")).alias("top"))
+    # at most SALTS rows a digest
+    first = seen.select(*keys, F.max("top").over(Window.partitionBy("digest")).alias("top"))
+    dealt = rows.repartition(*keys).groupBy(*keys, "page_id", "url").agg(F.any_value("payload").alias("payload"), F.count("*").alias("copies"))
+    dealt = dealt.join(first.hint("merge"), keys, "left")
+    known = F.col("top.page_id").isNotNull() & (F.octet_length("payload") >= least_bytes)
+    revisit = F.coalesce(known & ~F.col("page_id").eqNullSafe(F.col("top.page_id")), F.lit(False))
+    out = dealt.select("page_id", "url", "payload", "copies", F.col("top.page_id").alias("first"), F.col("top.url").alias("first_url"), revisit.alias("revisit"))
+    out.mapInArrow(_write, "record binary").select(F.col("record").cast("string")).write.option("lineSep", LAST).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -151,14 +174,14 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for r in range(b.num_rows):
             out: dict[str, list] = {k: [] for k in names}
-            for f, block in parse(zlib.decompress(b.column("content")[r].as_py(), 47)):
+            for f, block in parse(gzip.decompress(b.column("content")[r].as_py())):
                 kind, number = f["warc-type"], int(f.get("warc-segment-number", 0))
                 row = dict.fromkeys(names)
                 row |= {"origin": f.get("warc-segment-origin-id", f["warc-record-id"]), "segment": number, "total": int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None}
                 if kind != "continuation":
                     row |= {"page_id": int(f["x-page-id"]) if "x-page-id" in f else None, "record_type": kind, "payload_digest": f["warc-payload-digest"].removeprefix("sha1:"), "payload_bytes": int(f["x-payload-length"])}
                 if kind == "revisit":
-                    row["refers_to"] = int(f["warc-refers-to"][len("<urn:page:") : -1])
+                    row["refers_to"] = int(f["x-refers-to-page-id"])
                 elif number:
                     row["block"] = block
                 else:
@@ -203,7 +226,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     missing segment, a wrong total or a broken chunk ends the read with an error.
     Only segments of long blocks are shuffled with their bytes.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     rows = files.mapInArrow(_read, PARTS)
     head = lambda c: F.max(c).alias(c)
     grouped = rows.groupBy("origin").agg(
