@@ -2,7 +2,7 @@
 
 A text is the sequence of its words (runs of ASCII letters, digits and bytes above
 127, ASCII upper case folded). Each step of the network reads two inputs: a hashed
-word embedding and the mean of hashed embeddings of the word's character 3- and 5-grams
+word embedding and the mean of hashed embeddings of the 3-, 5- and 7-grams of its bytes
 with edge marks. All windows of WINDOW words, each overlapping the next by a third, are scored; attention over a window's states gives the vector that a logistic unit
 reads. The text's score is that of its worst window, moved so that 0.5 divides the
 training texts best.
@@ -33,10 +33,13 @@ GRAM_DIM = 8
 WORD_SLOTS = 1 << 14
 GRAM_SLOTS = 1 << 17
 #: A word of one letter and its edge marks is one 3-gram, so every word has some.
-GRAMS = (3, 5)
-#: The documented bound of the training sample: rows of each label, and characters of a row.
+GRAMS = (3, 5, 7)
+#: The documented bound of the training sample: rows of each label. Their texts are whole.
 TRAIN_ROWS = 1500
-TRAIN_CHARS = 6000
+#: Log odds from which a window shows that its text is toxic.
+CLEAR = 1.5
+#: Toxic texts that must be among those kept back from training.
+ENOUGH = 20
 CHUNK = 1 << 21
 
 SEPARATOR = np.ones(256, bool)
@@ -49,11 +52,13 @@ FOLD[65:91] += 32
 class Words:
     """The words of some rows: which distinct word stands where, the distinct words' slots, and their n-grams.
 
-    grams: of each n-gram length, the slots in order of the word, and the owning words.
+    key: the distinct words' hashes, increasing. grams: of each n-gram length, the
+    slots in order of the word, and the owning words.
     """
 
     row: np.ndarray
     word: np.ndarray
+    key: np.ndarray
     slots: np.ndarray
     grams: list[tuple[np.ndarray, np.ndarray]]
 
@@ -64,7 +69,7 @@ class Words:
             low, high = np.searchsorted(owner, own, "left"), np.searchsorted(owner, own, "right")
             n = high - low
             grams.append((slots[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)], np.repeat(np.arange(len(own)), n)))
-        return Words(self.row[:0], self.word[:0], self.slots[own], grams)
+        return Words(self.row[:0], self.word[:0], self.key[own], self.slots[own], grams)
 
 
 def read_words(raw: np.ndarray, offsets: np.ndarray) -> Words:
@@ -72,7 +77,7 @@ def read_words(raw: np.ndarray, offsets: np.ndarray) -> Words:
     starts, ends, row = spans(raw, offsets, SEPARATOR)
     none = np.zeros(0, np.int64)
     if not len(starts):
-        return Words(none, none, none, [(none, none)] * len(GRAMS))
+        return Words(none, none, np.zeros(0, U64), none, [(none, none)] * len(GRAMS))
     h = span_hash(raw, starts, ends)
     order = np.argsort(h)
     ranked = h[order]
@@ -98,7 +103,33 @@ def read_words(raw: np.ndarray, offsets: np.ndarray) -> Words:
             if k + 1 in GRAMS:
                 ok = np.flatnonzero(left >= k + 1)
                 grams.append(((mix(code[ok]) >> U64(64 - 17)).astype(np.int64), owner[ok]))
-    return Words(row, word, (own >> U64(64 - 14)).astype(np.int64), grams)
+    return Words(row, word, own, (own >> U64(64 - 14)).astype(np.int64), grams)
+
+
+def read_all(raw: np.ndarray, offsets: np.ndarray) -> Words:
+    """read_words of many rows, a chunk at a time, so that memory follows the chunk and the words rather than the bytes."""
+    lows, parts = [], []
+    for low, high in row_chunks(offsets, CHUNK):
+        lows.append(low)
+        parts.append(read_words(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]))
+    if len(parts) < 2:
+        return parts[0] if parts else read_words(raw, offsets)
+    key, first, place = np.unique(np.concatenate([p.key for p in parts]), return_index=True, return_inverse=True)
+    at = np.concatenate([[0], np.cumsum([len(p.key) for p in parts])])
+    grams: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in GRAMS]
+    for i, p in enumerate(parts):  # a word's n-grams are those of the chunk where it first occurs
+        mine = np.flatnonzero((first >= at[i]) & (first < at[i + 1]))
+        mine = mine[np.argsort(first[mine], kind="stable")]
+        for k, (slots, owner) in enumerate(p.pick(first[mine] - at[i]).grams):
+            grams[k].append((slots, mine[owner]))
+    joined = []
+    for each in grams:
+        slots, owner = (np.concatenate(x) for x in zip(*each, strict=True))
+        order = np.argsort(owner, kind="stable")
+        joined.append((slots[order], owner[order]))
+    row = np.concatenate([p.row + low for low, p in zip(lows, parts, strict=True)])
+    word = np.concatenate([place[at[i] + p.word] for i, p in enumerate(parts)])
+    return Words(row, word, key, (key >> U64(64 - 14)).astype(np.int64), joined)
 
 
 def windows(row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -270,7 +301,10 @@ class Network:
 
 
 def _evidence(w: Words, y: np.ndarray) -> np.ndarray:
-    """Of each word's place, the largest log odds of its n-grams' document counts, smoothed; a last entry stands for no word."""
+    """Of each word's place, the largest log odds of its n-grams' document counts, less a standard error; a last entry stands for no word.
+
+    Without the standard error, some n-gram of two toxic texts by chance would do.
+    """
     each = np.zeros(len(w.slots))
     pairs = distinct(w.word * len(y) + w.row)
     word, row = pairs // len(y), pairs % len(y)
@@ -282,7 +316,7 @@ def _evidence(w: Words, y: np.ndarray) -> np.ndarray:
         doc = distinct(gram * len(y) + np.repeat(row, m))
         gram, toxic = doc // len(y), y[doc % len(y)]
         bad, good = np.bincount(gram, weights=toxic, minlength=GRAM_SLOTS), np.bincount(gram, weights=1 - toxic, minlength=GRAM_SLOTS)
-        odds = np.log((bad + 0.1) / (good + 0.4) * max(1, (1 - y).sum()) / max(1, y.sum()))
+        odds = np.log((bad + 0.1) / (good + 0.4) * max(1, (1 - y).sum()) / max(1, y.sum())) - np.sqrt(1 / (bad + 0.1) + 1 / (good + 0.4))
         odds[bad < 2] = 0
         np.maximum.at(each, owner, odds[slots])
     return np.concatenate([each[w.word], [-9.0]])
@@ -296,7 +330,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, steps: int = 220, b
     rng = np.random.default_rng(seed)
     b = [t.encode("utf-8", "surrogatepass") for t in texts]
     raw, offsets = np.frombuffer(b"".join(b), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in b])]).astype(np.int64)
-    w = read_words(raw, offsets)
+    w = read_all(raw, offsets)
     if not len(w.word):
         return None
     at, of = windows(w.row, len(y))
@@ -304,8 +338,16 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, steps: int = 220, b
     clue = each[at].max(axis=1)
     top = np.full(len(y), -9.0)
     np.maximum.at(top, of, clue)
-    yes = np.flatnonzero((y[of] == 1) & (clue >= np.minimum(2.5, top[of])) & (clue > 0.7))
-    no = np.flatnonzero(y[of] == 0)
+    # a quarter of the texts is kept back to find where to divide, if that leaves enough toxic ones
+    back = rng.random(len(y)) < 0.25
+    if y[back].sum() < ENOUGH:
+        back[:] = False
+    # texts without a clear window teach nothing, as their labels may be wrong, unless too few have one
+    clear = clue >= CLEAR
+    if len(np.unique(of[clear & (y[of] == 1) & ~back[of]])) < ENOUGH // 4:
+        clear = (clue >= np.minimum(CLEAR, top[of])) & (clue > 0.7)
+    yes = np.flatnonzero((y[of] == 1) & ~back[of] & clear)
+    no = np.flatnonzero((y[of] == 0) & ~back[of])
     if not len(yes) or not len(no):
         return None
     net = Network(seed)
@@ -340,8 +382,8 @@ def train(texts: list[str], toxic: list[int], seed: int = 5, steps: int = 220, b
             z = net.logits(w, at[some])
             hard = some[np.argsort(-z)[: max(1, len(some) // 20)]]
             no = np.concatenate([no, np.repeat(hard, max(1, len(no) // (3 * len(hard))))])
-    # where to divide: the worst windows of a part of the texts
-    part = np.isin(of, rng.permutation(len(y))[: min(len(y), 700)])
+    # where to divide: the worst windows of the texts kept back, or of all
+    part = back[of] if back.any() else np.ones(len(of), bool)
     z = net.logits(w, at[part])
     worst = np.full(len(y), np.nan)
     for r, x in zip(of[part], z, strict=True):
@@ -367,17 +409,16 @@ def _divide(bad: np.ndarray, good: np.ndarray) -> float:
     return float((cuts[least[0]] + cuts[least[-1]]) / 2)
 
 
-def sample(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> pd.DataFrame:
-    """At most ``rows`` rows of each label, those with the smallest id hashes, each cut to ``chars`` characters from a hashed place."""
-    marked = labels.filter(usable & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").alias("y"), F.xxhash64("doc_id", F.lit(23)).alias("__spot"))
+def sample(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_ROWS) -> pd.DataFrame:
+    """At most ``rows`` rows of each label with their whole texts: those with the smallest id hashes."""
+    marked = labels.filter(usable & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").alias("y"), F.xxhash64("doc_id", F.lit(23)).alias("spot"))
     ids = None
     for y in (0, 1):
-        part = marked.filter(F.col("y") == y).orderBy("__spot", "doc_id").limit(rows)
+        part = marked.filter(F.col("y") == y).orderBy("spot", "doc_id").limit(rows)
         ids = part if ids is None else ids.union(part)
-    at = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.greatest(F.lit(1), F.length("text") - chars)).cast("int")
     # at most 2 * rows ids: few enough to send to every task
     got = docs.filter("text is not null").select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id")
-    return got.select("__spot", "y", F.substring(F.col("text"), at + 1, F.lit(chars)).alias("text")).orderBy("__spot", "y", "text").limit(2 * rows).toPandas()
+    return got.select("spot", "y", "text").orderBy("spot", "y", "text").limit(2 * rows).toPandas()
 
 
 def _scorer(net: Network | None):
@@ -403,8 +444,10 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, usable: Column)
     """(doc_id, held_out, score, predicted) for every row of docs; learns from labels where usable holds.
 
     A text that is null or has no word scores 0, as do all texts if the labels to
-    learn from lack one of the classes. Repeated rows give repeated results. Reads
-    doc_id and text, and doc_id and toxic of labels; other columns don't matter.
+    learn from lack one of the classes. Texts of any length are scored whole, by
+    their worst window. Repeated rows give repeated results, an empty table gives
+    none. Reads doc_id and text, and doc_id and toxic of labels; other columns don't
+    matter, whatever their names.
     """
     learn = sample(docs, labels, usable)
     net = train(learn["text"].tolist(), learn["y"].tolist())
