@@ -1,11 +1,13 @@
 """Exact top-k by inner product: a KD-tree per shard with tight boxes, searched best first.
 
 Candidates are dealt into shards of bounded size; each shard's vectors are split at
-the median of their widest component down to leaves of LEAF vectors, and each leaf
-keeps the tight bounding box of its own. The largest inner product of a query with
-a box bounds those of its vectors, so leaves are visited from the largest bound down
-until the bound falls below the kth score found. A first pass over each query's best
-leaf of every shard gives a kth score that all shards start from in the second.
+the median of their widest component down to leaves of LEAF vectors, and every node,
+inner ones too, keeps the tight bounding box of its own. The largest inner product of
+a query with a box bounds those of its vectors. Each query keeps its open nodes in a
+heap by bound: the best is opened next, a subtree whose bound is below the kth score
+is never entered, and the kth score is carried on after every leaf. A first pass over
+each query's best leaf of every shard gives a kth score that all shards start from in
+the second.
 
 Queries are dealt in blocks; a unit of work is one block and one shard.
 """
@@ -13,6 +15,8 @@ Queries are dealt in blocks; a unit of work is one block and one shard.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,101 +29,136 @@ SHARD = 8192
 QUERIES = 1024
 LEAF = 128
 SCALE = 256
+#: Scores beyond a long's range are held at its ends; the least long means that there is none.
+MOST = 2**63 - 1
+NONE = -(2**63)
 
 
 def quantised(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, vec, dim): whole numbers floor(SCALE * x). Rows without an id, a vector, or with a component that is null or not finite go."""
+    """(vec_id, vec, dim): whole numbers floor(SCALE * x), held within a long's range.
+
+    Rows without an id, a vector, or with a component that is null or not finite go. A
+    vector without components stays; it scores 0 with its like.
+    """
     sound = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     vec = F.transform("embedding", lambda x: F.floor(SCALE * x.cast("double")).cast("long"))
     return embeddings.filter(F.coalesce(sound, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec")).withColumn("dim", F.size("vec"))
 
 
-def build(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Order of the rows of x by leaf, first places of the leaves, and their tight boxes. Equal vectors split by place, so leaves stay small."""
-    order, starts, stack = [], [], [np.arange(len(x))]
-    n = 0
-    while stack:
-        rows = stack.pop()
-        if len(rows) <= leaf:
-            starts.append(n)
-            order.append(rows)
-            n += len(rows)
-            continue
-        part = x[rows]
-        wide = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
-        split = np.argpartition(part[:, wide], len(rows) // 2)
-        stack += [rows[split[len(rows) // 2 :]], rows[split[: len(rows) // 2]]]
-    order, starts = np.concatenate(order), np.array(starts)
-    return order, starts, np.minimum.reduceat(x[order], starts, axis=0), np.maximum.reduceat(x[order], starts, axis=0)
+@dataclass
+class Tree:
+    """Nodes in the order in which they were split, the root first.
+
+    left and right: children, -1 for a leaf; begin and end: its rows in order; low and
+    high: its tight box.
+    """
+
+    order: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+
+def build(x: np.ndarray, leaf: int = LEAF) -> Tree:
+    """The tree of the rows of x, at least one. Equal vectors split by place, so leaves stay small."""
+    order = np.arange(len(x))
+    left, right, begin, end, low, high = [-1], [-1], [0], [len(x)], [x.min(axis=0)], [x.max(axis=0)]
+    node = 0
+    while node < len(left):
+        a, b = begin[node], end[node]
+        if b - a > leaf and x.shape[1]:
+            wide = int(np.argmax(high[node] - low[node]))
+            middle = (b - a) // 2
+            order[a:b] = order[a:b][np.argpartition(x[order[a:b], wide], middle)]
+            left[node], right[node] = len(left), len(left) + 1
+            for start, stop in ((a, a + middle), (a + middle, b)):
+                part = x[order[start:stop]]
+                for column, value in ((left, -1), (right, -1), (begin, start), (end, stop), (low, part.min(axis=0)), (high, part.max(axis=0))):
+                    column.append(value)
+        node += 1
+    return Tree(order, *map(np.array, (left, right, begin, end, low, high)))
 
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers: by floating point where no partial sum can pass 2**53, else by Python integers."""
+    """Inner products of whole numbers, held within MOST: by floating point where no partial sum can pass 2**53, else by Python integers."""
     if q.size == 0 or x.size == 0:
         return np.zeros((len(q), len(x)), np.int64)
-    if float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1] < 2**53:
+    if float(np.abs(q.astype(np.float64)).max()) * float(np.abs(x.astype(np.float64)).max()) * q.shape[1] < 2**53:
         return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    return (q.astype(object) @ x.astype(object).T).astype(np.int64)
+    exact = q.astype(object) @ x.astype(object).T
+    return np.clip(exact, -MOST, MOST).astype(np.int64)
 
 
 def bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """No less than the inner product of a query with any vector in a box; rounding is made up for."""
+    """No less than the score of a query with any vector in a box; rounding is made up for."""
     q, low, high = q.astype(np.float64), low.astype(np.float64), high.astype(np.float64)
     up = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
     slack = (np.abs(q) @ np.maximum(np.abs(low), np.abs(high)).T) * 1e-12
-    return up + slack
+    return np.maximum(up + slack, -float(MOST))
 
 
-def search(q: np.ndarray, q_id: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, starts: np.ndarray, low: np.ndarray, high: np.ndarray, k: int, first_only: bool = False):
-    """(score, id) of the k best of the tree for each query, as arrays padded with (-2**63, -1), equal scores by smaller id.
+def search(q: np.ndarray, q_id: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, tree: Tree, k: int, first_only: bool = False):
+    """(score, id) of the k best of the tree for each query, as arrays padded with (NONE, -1), equal scores by smaller id.
 
-    floor is a score that k candidates are known to reach; leaves whose bound is
-    below it, or below the kth score so far, aren't visited.
+    x and ids are in the tree's order. floor is a score that k candidates are known to
+    reach; nodes whose bound is below it, or below the kth score so far, aren't
+    entered. All queries take a step at a time: each opens nodes until it comes to a
+    leaf, and those that came to the same one are compared with it together.
     """
-    n, none = len(q), np.iinfo(np.int64).min
-    scores, found = np.full((n, k), none), np.full((n, k), -1)
+    n = len(q)
+    scores, found = np.full((n, k), NONE), np.full((n, k), -1)
     if not n or not len(x):
         return scores, found
-    up = bounds(q, low, high)
-    ranked = np.argsort(-up, axis=1)
-    stops = np.append(starts[1:], len(x))
-    rank, step = 0, 1
-    while rank < len(starts):
-        kth = np.maximum(scores[:, -1], floor)
-        group = ranked[:, rank : rank + step]
-        go = np.take_along_axis(up, group, 1) >= kth[:, None]
-        if not go.any():
-            break
-        who, col = np.nonzero(go)
-        leaf = group[who, col]
-        order = np.argsort(leaf, kind="stable")
-        who, leaf = who[order], leaf[order]
-        cuts = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1], [True]]))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            rows, span = who[a:b], slice(starts[leaf[a]], stops[leaf[a]])
-            s = _products(q[rows], x[span])
-            s[ids[span][None] == q_id[rows][:, None]] = none
-            better = s.max(axis=1) >= np.maximum(scores[rows, -1], none + 1)
-            if not better.any():
-                continue
-            rows, s = rows[better], s[better]
-            s = np.concatenate([scores[rows], s], axis=1)
-            i = np.concatenate([found[rows], np.broadcast_to(ids[span], (len(rows), span.stop - span.start))], axis=1)
-            if s.shape[1] > 4 * k:  # ties of the kth score stay in
-                kth_now = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-                keep = s >= kth_now[:, None]
-            else:
-                keep = np.ones(s.shape, bool)
-            best = np.lexsort((i, -s.astype(np.float64), ~keep), axis=1)[:, :k] if abs(s).max(initial=0, where=s != none) < 2**53 else _sorted(s, i, k)
-            scores[rows], found[rows] = np.take_along_axis(s, best, 1), np.take_along_axis(i, best, 1)
-        if first_only:
-            break
-        rank += step
-        step *= 2
-    found[scores == none] = -1
+    up = bounds(q, tree.low, tree.high)
+    left, right = tree.left.tolist(), tree.right.tolist()
+    heaps = [[(-b, 0)] for b in up[:, 0].tolist()]
+    active = range(n)
+    while active:
+        at_leaf: dict[int, list[int]] = {}
+        for i in active:
+            heap, kth, bound = heaps[i], max(scores[i, -1], floor[i]), up[i]
+            while heap:
+                b, node = heappop(heap)
+                if -b < kth:
+                    heap.clear()  # what is left is no better
+                elif left[node] < 0:
+                    at_leaf.setdefault(node, []).append(i)
+                    break
+                else:
+                    for child in (left[node], right[node]):
+                        if bound[child] >= kth:
+                            heappush(heap, (-bound[child], child))
+        for leaf, who in at_leaf.items():
+            _compare(np.array(who), slice(tree.begin[leaf], tree.end[leaf]), q, q_id, ids, x, scores, found)
+        active = [] if first_only else sorted(i for who in at_leaf.values() for i in who if heaps[i])
+    found[scores == NONE] = -1
     return scores, found
 
 
+def _compare(rows: np.ndarray, span: slice, q: np.ndarray, q_id: np.ndarray, ids: np.ndarray, x: np.ndarray, scores: np.ndarray, found: np.ndarray) -> None:
+    """Take the vectors of one leaf into the best of the given queries."""
+    k = scores.shape[1]
+    s = _products(q[rows], x[span])
+    s[ids[span][None] == q_id[rows][:, None]] = NONE
+    better = s.max(axis=1) >= np.maximum(scores[rows, -1], NONE + 1)
+    if not better.any():
+        return
+    rows, s = rows[better], s[better]
+    s = np.concatenate([scores[rows], s], axis=1)
+    i = np.concatenate([found[rows], np.broadcast_to(ids[span], (len(rows), span.stop - span.start))], axis=1)
+    if s.shape[1] > 4 * k:  # ties of the kth score stay in
+        kth = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+        keep = s >= kth[:, None]
+    else:
+        keep = np.ones(s.shape, bool)
+    small = np.abs(s).max(initial=0, where=s != NONE) < 2**53
+    best = np.lexsort((i, -s.astype(np.float64), ~keep), axis=1)[:, :k] if small else _sorted(s, i, k)
+    scores[rows], found[rows] = np.take_along_axis(s, best, 1), np.take_along_axis(i, best, 1)
+
+
 def _sorted(s: np.ndarray, i: np.ndarray, k: int) -> np.ndarray:
     return np.array([sorted(range(s.shape[1]), key=lambda c: (-int(s[r, c]), int(i[r, c])))[:k] for r in range(len(s))])
 
@@ -128,7 +167,8 @@ def _blob(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
 
-TREE = "dim int, shard long, ids binary, x binary, starts binary, low binary, high binary"
+NODES = ("left", "right", "begin", "end", "low", "high")
+TREE = "dim int, shard long, ids binary, x binary, left binary, right binary, begin binary, end binary, low binary, high binary"
 BLOCKS = "dim int, block long, qkey binary, q_id binary, q binary"
 FOUND = "dim int, query_id long, qkey long, vec_id long, score long"
 
@@ -139,16 +179,16 @@ def _trees(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     ids = table.column("vec_id").to_numpy()
     by_id = np.argsort(ids, kind="stable")
     ids, x = ids[by_id], x[by_id]
-    order, starts, low, high = build(x)
-    row = [dim, table.column("shard")[0].as_py(), _blob(ids[order]), _blob(x[order]), _blob(starts), _blob(low), _blob(high)]
-    types = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+    tree = build(x)
+    row = [dim, table.column("shard")[0].as_py(), _blob(ids[tree.order]), _blob(x[tree.order]), *(_blob(getattr(tree, c)) for c in NODES)]
+    types = [pa.int32(), pa.int64(), *[pa.binary()] * 8]
     return pa.table([pa.array([v], t) for v, t in zip(row, types, strict=True)], [c.split()[0] for c in TREE.split(", ")])
 
 
 def _query_block(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     dim = table.column("dim")[0].as_py()
     table = table.sort_by([("vec_id", "ascending"), ("qkey", "ascending")])
-    q = np.array(table.column("vec").to_pylist(), np.int64)
+    q = np.array(table.column("vec").to_pylist(), np.int64).reshape(table.num_rows, dim)
     row = [dim, table.column("block")[0].as_py(), _blob(table.column("qkey").to_numpy()), _blob(table.column("vec_id").to_numpy()), _blob(q)]
     types = [pa.int32(), pa.int64(), *[pa.binary()] * 3]
     return pa.table([pa.array([v], t) for v, t in zip(row, types, strict=True)], [c.split()[0] for c in BLOCKS.split(", ")])
@@ -162,13 +202,14 @@ def _searcher(k: int, first_only: bool):
                 n64 = lambda c: np.frombuffer(row[c], np.int64)  # noqa: E731, B023
                 dim = row["dim"]
                 q_id, qkey, ids = n64("q_id"), n64("qkey"), n64("ids")
-                floors = n64("floors") if "floors" in row else np.full(len(q_id), np.iinfo(np.int64).min)
-                scores, found = search(n64("q").reshape(-1, dim), q_id, floors, ids, n64("x").reshape(-1, dim), n64("starts"), n64("low").reshape(-1, dim), n64("high").reshape(-1, dim), k, first_only)
+                floors = n64("floors") if "floors" in row else np.full(len(q_id), NONE)
+                tree = Tree(np.arange(len(ids)), *(n64(c) for c in NODES[:4]), *(n64(c).reshape(len(n64("left")), dim) for c in NODES[4:]))
+                scores, found = search(n64("q").reshape(len(q_id), dim), q_id, floors, ids, n64("x").reshape(len(ids), dim), tree, k, first_only)
                 if first_only:
-                    full = np.flatnonzero(scores[:, -1] > np.iinfo(np.int64).min)
+                    full = np.flatnonzero(scores[:, -1] > NONE)
                     yield pa.record_batch([pa.array(np.full(len(full), dim, np.int32)), pa.array(q_id[full]), pa.array(qkey[full]), pa.array(np.full(len(full), -1)), pa.array(scores[full, -1])], [c.split()[0] for c in FOUND.split(", ")])
                 else:
-                    who, col = np.nonzero((scores >= floors[:, None]) & (scores > np.iinfo(np.int64).min))
+                    who, col = np.nonzero((scores >= floors[:, None]) & (scores > NONE))
                     yield pa.record_batch([pa.array(np.full(len(who), dim, np.int32)), pa.array(q_id[who]), pa.array(qkey[who]), pa.array(found[who, col]), pa.array(scores[who, col])], [c.split()[0] for c in FOUND.split(", ")])
 
     return run
@@ -180,7 +221,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     vectors as of quantised. Only vectors of a query's dimension are compared with
     it. A query id that occurs with several vectors is answered for each of them, in
     one ranking; equal rows are one query. Fewer candidates give fewer rows, an
-    empty table none.
+    empty table none. Scores beyond a long's range are held at its ends, and are
+    equal there.
     """
     spark = vectors.sparkSession
     vectors = cut(vectors)
