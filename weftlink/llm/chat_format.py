@@ -13,6 +13,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,7 +103,8 @@ def format_conversations(rows: DataFrame, template: Template | None = None) -> D
     says whether a segment is to be learnt. order_ok turns false at the first turn
     that the machine doesn't allow and stays so; no turn is dropped. Turns run by
     (turn, role, text), nulls first; null text is empty; rows with null conv_id are
-    one conversation. Other columns aren't read.
+    one conversation; repeated rows are turns of their own; an empty table has no
+    segments. Texts of any length are whole. Other columns aren't read.
     """
     dealt = rows.select("conv_id", "turn", "role", "text").repartition(F.col("conv_id"))
     ordered = dealt.sortWithinPartitions("conv_id", "turn", "role", "text")
@@ -112,6 +114,45 @@ def format_conversations(rows: DataFrame, template: Template | None = None) -> D
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, order_ok boolean"
 
 
+def _turn(formatted: str, at: int, t: Template) -> tuple[str | None, str, int] | None:
+    """Role and text of the turn that begins at ``at``, and where it ends, by marks alone; None if its closing mark hasn't come yet."""
+    m = _opening(t).match(formatted, at)
+    if not m:
+        raise ValueError(f"no turn at character {at}")
+    lead = t.closing.index(t.mark)
+    for x in re.finditer(rf"\\.|{re.escape(t.opening)}|{re.escape(t.mark)}", formatted[m.end() :], re.S):
+        if x[0][0] == "\\":
+            continue
+        stop = m.end() + x.start() - lead
+        if x[0] != t.mark or stop < m.end() or not formatted.startswith(t.closing, stop):
+            raise ValueError(f"a mark inside a text at character {m.end() + x.start()}")
+        return t.role_of(m[0]), t.unescape(formatted[m.end() : stop]), stop + len(t.closing)
+    return None
+
+
+@cache
+def _opening_pattern(opening: str, labels: tuple[str, ...], after: str) -> re.Pattern:
+    label = "|".join(map(re.escape, labels)) + r'|Role (?:null|"(?:[^"\\]|\\.)*")'
+    return re.compile(f"{re.escape(opening)}(?:{label}){re.escape(after)}", re.S)
+
+
+def _opening(t: Template) -> re.Pattern:
+    return _opening_pattern(t.opening, tuple(t.labels.values()), t.after)
+
+
+def split_text(formatted: str, template: Template | None = None) -> list[tuple[str | None, str]]:
+    """The turns (role, text) of one conversation's whole formatted text, by its marks alone. ValueError if it is cut short."""
+    t = template or Template()
+    out, at = [], 0
+    while at < len(formatted):
+        turn = _turn(formatted, at, t)
+        if turn is None:
+            raise ValueError(f"the turn at character {at} has no end")
+        out.append(turn[:2])
+        at = turn[2]
+    return out
+
+
 def _read_back(template: Template):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []
@@ -119,30 +160,32 @@ def _read_back(template: Template):
         begun = False
         turns = loss = None
         n = chars = total = 0
-        ok, role = True, None
+        ok, pending = True, ""
 
         def finish() -> None:
+            if pending:
+                raise ValueError(f"conversation {now}: its last turn has no end")
             done.append((now, n, turns.hexdigest(), chars, loss.hexdigest(), total, ok))
 
         for b in batches:
-            cols = (b.column(c).to_pylist() for c in ("conv_id", "part", "text", "loss", "order_ok"))
-            for conv, part, text, learn, good in zip(*cols, strict=True):
+            cols = (b.column(c).to_pylist() for c in ("conv_id", "text", "loss", "order_ok"))
+            for conv, text, learn, good in zip(*cols, strict=True):
                 if not begun or conv != now:
                     if begun:
                         finish()
-                    begun, now, n, chars, total, ok = True, conv, 0, 0, 0, True
+                    begun, now, n, chars, total, ok, pending = True, conv, 0, 0, 0, True, ""
                     turns, loss = hashlib.sha256(), hashlib.sha256()
                 total += len(text)
                 ok = ok and good
-                plain = template.unescape(text) if part == "text" else text
-                if part == "open":
-                    role = template.role_of(text)
-                elif part == "text":
-                    n += 1
-                    turns.update(f"{role or ''}\n{plain}\n".encode("utf-8", "surrogatepass"))
-                elif text != template.closing:
-                    raise ValueError(f"not a closing mark: {text!r}")
+                pending += text
+                # inside a text a closing mark is escaped, so this one ends a turn
+                if pending.endswith(template.closing):
+                    for role, plain in split_text(pending, template):
+                        n += 1
+                        turns.update(f"{role or ''}\n{plain}\n".encode("utf-8", "surrogatepass"))
+                    pending = ""
                 if learn:
+                    plain = template.unescape(text)
                     chars += len(plain)
                     loss.update(plain.encode("utf-8", "surrogatepass"))
             if len(done) > 4096:
@@ -163,20 +206,10 @@ def _digests(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def digests(segments: DataFrame, template: Template | None = None) -> DataFrame:
-    """Read segments back, as format_conversations deals and orders them, and digest each conversation's turns and loss text."""
-    return segments.mapInArrow(_read_back(template or Template()), DIGEST)
+    """Read the formatted text back and digest each conversation's turns and loss text.
 
-
-def split_text(formatted: str, template: Template | None = None) -> list[tuple[str | None, str]]:
-    """The turns (role, text) of one conversation's whole formatted text, by its marks alone."""
-    t = template or Template()
-    label = "|".join(map(re.escape, t.labels.values())) + r'|Role (?:null|"(?:[^"\\]|\\.)*")'
-    one = re.compile(f"({re.escape(t.opening)}(?:{label}){re.escape(t.after)})((?:[^\\\\<]|\\\\.|<(?!/turn>))*?){re.escape(t.closing)}", re.S)
-    out, at = [], 0
-    while at < len(formatted):
-        m = one.match(formatted, at)
-        if not m:
-            raise ValueError(f"no turn at character {at}")
-        out.append((t.role_of(m[1]), t.unescape(m[2])))
-        at = m.end()
-    return out
+    segments are as format_conversations deals and orders them. Turns are found in the
+    joined text by its marks alone; of the segments only their order and loss flags
+    are used. Nothing is read from the input rows.
+    """
+    return segments.select("conv_id", "text", "loss", "order_ok").mapInArrow(_read_back(template or Template()), DIGEST)
