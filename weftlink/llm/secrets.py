@@ -32,11 +32,11 @@ CLASSES = (
     ("alnum", re.compile(r"[A-Za-z0-9]+"), 20, 3.6),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.8),
 )
-#: Candidates that are no secrets: words, numbers and dates, paths and slugs of words, uuids, and runs of few characters.
+#: Candidates that are no secrets: words and runs of capitalised words, numbers and dates, paths and slugs of words, uuids, and words with a number.
 ALLOW = tuple(
     re.compile(x)
     for x in (
-        r"[A-Za-z]+",
+        r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+[A-Za-z]?",
         r"[0-9+/_=-]+",
         r"(?:[A-Za-z]+|[0-9]{1,8})(?:[+/_=-]+(?:[A-Za-z]+|[0-9]{1,8}))+[+/_=-]*",
         r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
@@ -70,7 +70,7 @@ def window_entropies(s: str, width: int) -> Iterator[float]:
 
 def high_entropy(s: str) -> bool:
     """Whether a window of the narrowest class that holds the whole candidate reaches that class's bits."""
-    if any(a.fullmatch(s) for a in ALLOW) or not any(c.isdigit() for c in s):
+    if any(a.fullmatch(s) for a in ALLOW):
         return False
     for _, chars, width, bits in CLASSES:
         if chars.fullmatch(s):
@@ -134,25 +134,34 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, n_entropy, base_sha256, spans) for every row; null text is empty. Other columns aren't read."""
+    """(doc_id, n_assign, n_access, n_hex, n_entropy, base_sha256, spans) for every row.
+
+    Null text is empty and has no spans; texts of any length are searched whole;
+    repeated rows give repeated results, an empty table none. Other columns aren't read.
+    """
     return docs.select("doc_id", "text").mapInArrow(_scan, FOUND)
 
 
 def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = []
-        for value in b.column("text"):
+        counted = "n_chars" in b.schema.names and pa.types.is_integer(b.schema.field("n_chars").type)
+        out, sizes = [], b.column("n_chars").to_pylist() if counted else None
+        for r, value in enumerate(b.column("text")):
             t = value.as_py()
             spans = find_spans(t) if t else []
             out.append(redact(t, spans) if spans else t)
-        yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(out, b.schema.field("text").type))
+            if spans and sizes is not None:
+                sizes[r] = len(out[r])
+        for name, column in (("text", out), ("n_chars", sizes)):
+            if column is not None:
+                b = b.set_column(b.schema.get_field_index(name), name, pa.array(column, b.schema.field(name).type))
+        yield b
 
 
 def remove_secrets(docs: DataFrame) -> DataFrame:
-    """docs with every span replaced by a mark, and n_chars, if there is such a column, counted anew where text changed. No row is dropped."""
-    before = docs.withColumn("__before", F.xxhash64("text"))
-    out = before.mapInArrow(_redact, before.schema)
-    if "n_chars" in docs.columns:
-        changed = ~F.col("__before").eqNullSafe(F.xxhash64("text"))
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.drop("__before")
+    """docs with every span replaced by a mark, and n_chars, if there is such a number, counted anew where text changed.
+
+    No row is dropped: null and empty texts stay as they are, repeated rows are
+    changed alike, an empty table stays empty. Columns may have any names.
+    """
+    return docs.mapInArrow(_redact, docs.schema)
