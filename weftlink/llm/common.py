@@ -51,6 +51,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df written to a path under the shared root, and read from there."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting for the actions inside the block only."""

@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, own_columns
+from .common import cut, drop_folder, packed, shared_folder, unpacked, written
 from .textkit import BLANKS, U64, mix, row_chunks, span_hash, spans, text_bytes
 
 WORDS = 5
@@ -35,6 +35,11 @@ DEPTH = 3
 PAIRWISE = 12
 #: Texts in a block of the exact pass over large buckets.
 BLOCK = 512
+#: Parts into which the rows of one bucket, text or class are dealt, and the bucket size from which a pair counts as one of many of its leader.
+SALTS = 32
+MANY = 1024
+#: Links that a task of the component search holds, about.
+PER_TASK = 50_000
 CHUNK = 1 << 20
 
 
@@ -167,12 +172,17 @@ def _sequence(text: str) -> np.ndarray:
 class _Kept(OrderedDict):
     """The sequences of the texts used last, by key; bounded in elements."""
 
+    held = 0
+
     def of(self, key: bytes, text: str) -> np.ndarray:
         got = self.get(key)
         if got is None:
             got = self[key] = _sequence(text)
-            while sum(map(len, self.values())) > 2_000_000 and len(self) > 1:
-                self.popitem(last=False)
+            self.held += len(got)
+            while self.held > 2_000_000 and len(self) > 1:
+                self.held -= len(self.popitem(last=False)[1])
+        else:
+            self.move_to_end(key)
         return got
 
 
@@ -218,22 +228,52 @@ def _block_links(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node of each connected component. Every edge is read both ways.
+def _salt(c: str) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(SALTS)).cast("int")
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    """df once for every salt: for sides of few rows only."""
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _part(rows: DataFrame, side: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
+    """rows joined to side, which has one row per key, by the parts of a key's rows that occur."""
+    dealt = rows.withColumn("salt", _salt(spread))
+    parts = dealt.groupBy(key).agg(F.collect_set("salt").alias("salts")).join(side, key)
+    return dealt.join(parts.withColumn("salt", F.explode("salts")).drop("salts"), [key, "salt"], how).drop("salt")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) of the ends of edges (a, b): the smallest node of each connected component.
 
     Each round takes the smallest label among the neighbours and then follows
-    labels to their own labels, so paths shorten by at least half.
+    labels to their own labels, so paths shorten by at least half. A node with many
+    edges, and a label of many nodes, is looked up by parts: each part that occurs
+    gets the label, so no task has all rows of one node or class.
     """
-    both = cut(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(edges.select("b", "a")).distinct())
-    labels = cut(nodes.select("node", F.col("node").alias("label")).distinct())
-    while True:
-        seen = both.join(labels.select(F.col("node").alias("y"), "label"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(seen, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("down"))
-        hop = step.select(F.col("node").alias("down"), F.col("down").alias("jump"))
-        new = cut(step.join(hop, "down").select("node", F.least("down", "jump").alias("label"), (F.least("down", "jump") < F.col("label")).alias("moved")))
-        if not new.filter("moved").limit(1).count():
-            return new.select("node", "label")
-        labels = new.select("node", "label")
+    spark = edges.sparkSession
+    parts = 1 + edges.count() // PER_TASK
+    both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(edges.select("b", "a")).distinct().withColumn("salt", _salt("x"))
+    both = cut(both.coalesce(parts))
+    asked = cut(both.groupBy("y").agg(F.collect_set("salt").alias("salts")).coalesce(parts))
+    # a written table has its true size; that of a checkpoint is guessed from its plan, and would grow exponentially with the rounds
+    folder, n = shared_folder(spark, "components"), 0
+    try:
+        labels = written(asked.select(F.col("y").alias("node"), F.col("y").alias("label")).coalesce(parts), f"{folder}/{n}")
+        while True:
+            told = asked.join(labels.withColumnRenamed("node", "y"), "y").withColumn("salt", F.explode("salts"))
+            seen = both.join(told, ["y", "salt"]).groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
+            n += 1
+            step = written(labels.join(seen, "node").select("node", "label", F.least("label", "near").alias("down")).coalesce(parts), f"{folder}/{n}")
+            jumped = _part(step, step.select(F.col("node").alias("down"), F.col("down").alias("jump")), "down", "node")
+            new = jumped.select("node", F.least("down", "jump").alias("label"), (F.least("down", "jump") < F.col("label")).alias("moved"))
+            new = written(new.coalesce(parts), f"{folder}/{n}-moved")
+            if not new.filter("moved").limit(1).count():
+                return cut(new.select("node", "label"))
+            labels = new.select("node", "label")
+    finally:
+        drop_folder(spark, folder)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -247,23 +287,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     one class; a text without words is otherwise near no other; a row with null
     text is a class of its own. Null ids get the smallest known id of their class,
     else null. An empty table gives an empty result. Other columns aren't read.
+
+    A bucket, a leader's pairs and a class may each hold a large part of all rows:
+    what is joined to them is joined by key and salt, a part of the key's rows.
     """
     keyed = _keyed(docs)
     rows = cut(keyed.mapInArrow(_sketches, "doc_id long, tkey binary, entries array<long>"))
     texts = cut(rows.filter("tkey is not null").groupBy("tkey").agg(F.min("doc_id").alias("id"), F.any_value("entries").alias("entries")))
-    entry = texts.filter("size(entries) > 0").select("tkey", F.explode("entries").alias("h"))
-    full = entry.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = cut(entry.join(full, "h"))
+    entry = texts.filter("size(entries) > 0").select("tkey", F.explode("entries").alias("h"), _salt("tkey").alias("salt"))
+    bucket = Window.partitionBy("h")  # over at most SALTS rows
+    sizes = entry.groupBy("h", "salt").agg(F.count("*").alias("n")).withColumn("n", F.sum("n").over(bucket)).filter("n > 1")
+    shared = cut(entry.join(sizes, ["h", "salt"]))
 
     # a text in large buckets is likely the origin of their members: buckets take the text with most company as leader
     company = shared.groupBy("tkey").agg(F.sum("n").alias("company"))
-    led = shared.join(company, "tkey").groupBy("h").agg(F.max(F.struct("company", "tkey"))["tkey"].alias("leader"))
-    star = shared.filter(F.col("n") > PAIRWISE).join(led, "h").filter("tkey != leader").select(F.col("tkey").alias("a"), F.col("leader").alias("b"))
+    large = shared.filter(F.col("n") > PAIRWISE)
+    led = large.join(company, "tkey").groupBy("h", "salt").agg(F.max(F.struct("company", "tkey")).alias("top"))
+    led = led.select("h", "salt", F.max("top").over(bucket)["tkey"].alias("leader"))
+    star = large.join(led, ["h", "salt"]).filter("tkey != leader").select(F.least("tkey", "leader").alias("a"), F.greatest("tkey", "leader").alias("b"), (F.col("n") > MANY).alias("many"))
     small = shared.filter(F.col("n") <= PAIRWISE).select("h", "tkey")
-    every = small.select("h", F.col("tkey").alias("a")).join(small.select("h", F.col("tkey").alias("b")), "h").filter("a < b").select("a", "b")
-    pairs = cut(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(every).distinct())
+    every = small.select("h", F.col("tkey").alias("a")).join(small.select("h", F.col("tkey").alias("b")), "h").filter("a < b").select("a", "b", F.lit(False))
+    pairs = star.union(every).groupBy("a", "b").agg(F.max("many").alias("many"))
+    by = lambda c: F.when(F.col("many"), _salt(c)).otherwise(F.lit(0))
+    pairs = cut(pairs.select("a", "b", by("b").alias("sa"), by("a").alias("sb")))
 
-    ends = pairs.select(F.col("a").alias("tkey")).union(pairs.select("b")).union(shared.filter(F.col("n") > PAIRWISE).select("tkey")).distinct()
+    ends = pairs.select(F.col("a").alias("tkey")).union(pairs.select("b")).union(large.select("tkey")).distinct()
     chosen = ends.join(texts.select("tkey", "id"), "tkey").select("tkey", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("one"))
     # equal texts are dealt by their ids as well, so a large group of copies doesn't meet in one task
     body = (
@@ -271,48 +319,55 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(chosen, ["tkey", "one"], "left_semi").dropDuplicates(["tkey"]).select("tkey", "text")
     )
     body = cut(body)
-    tested = (
-        pairs.join(body.select(F.col("tkey").alias("a"), F.col("text").alias("ta")), "a")
-        .join(body.select(F.col("tkey").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    )
+    side = lambda k, s, t: pairs.select(k, s).distinct().join(body.select(F.col("tkey").alias(k), F.col("text").alias(t)), k)
+    tested = pairs.join(side("a", "sa", "ta"), ["a", "sa"]).join(side("b", "sb", "tb"), ["b", "sb"]).select("a", "b", "ta", "tb")
     links = cut(tested.mapInArrow(_verify, "a binary, b binary"))
-    nodes = shared.select(F.col("tkey").alias("node")).distinct()
-    labels = components(nodes, links)
+    labels = components(links)
 
     # exact pass: large buckets that hold several classes
-    big = cut(shared.filter(F.col("n") > PAIRWISE).join(labels.withColumnRenamed("node", "tkey"), "tkey").select("h", "tkey", "label"))
-    open_ = big.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("h")
-    big = big.join(open_, "h")
-    counts = big.groupBy("h", "label").agg(F.count("*").alias("n"))
-    main = counts.groupBy("h").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
-    strays = cut(big.join(main, "h").filter("label != main").select("main", "tkey", "label").distinct())
+    big = cut(large.select("h", "salt", "tkey").join(labels.withColumnRenamed("node", "tkey"), "tkey", "left").withColumn("label", F.coalesce("label", "tkey")))
+    part = big.groupBy("h", "salt").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    part = part.select("h", "salt", F.min("lo").over(bucket).alias("lo"), F.max("hi").over(bucket).alias("hi")).filter("lo != hi").select("h", "salt")
+    most = big.groupBy("h", "label").agg(F.count("*").alias("n")).groupBy("h").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
+    strays = cut(big.join(part.join(most, "h"), ["h", "salt"]).filter("label != main").select("main", "tkey", "label").distinct())
     k = strays.groupBy("main").agg(F.count("*").alias("strays"))
-    around = labels.withColumnRenamed("node", "tkey").join(k, F.col("label") == F.col("main")).select("main", "tkey", "label").union(strays).distinct()
-    size = around.groupBy("main").agg(F.count("*").alias("members")).join(k, "main").select(
+    members = labels.select(F.col("node").alias("tkey"), "label", _salt("node").alias("salt"))
+    around = members.join(_salted(k.select(F.col("main").alias("label"))), ["label", "salt"]).select(F.col("label").alias("main"), "tkey", "label")
+    around = cut(around.union(strays).union(k.select("main", "main", "main")).distinct())
+    size = _salted(around.groupBy("main").agg(F.count("*").alias("members")).join(k, "main").select(
         "main", F.ceil(F.col("members") / BLOCK).alias("mb"), F.ceil(F.col("strays") / BLOCK).alias("sb")
-    )
+    ))
+    sized = lambda df: df.withColumn("salt", _salt("tkey")).join(size, ["main", "salt"])
     spot = F.xxhash64("tkey")
-    m = around.join(size, "main").select("main", "tkey", "label", F.lit("m").alias("role"), F.pmod(spot, "mb").alias("mi"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("sb") - 1)).alias("si"))
-    s = strays.join(size, "main").select("main", "tkey", "label", F.lit("s").alias("role"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("mi"), F.pmod(spot, "sb").alias("si"))
+    m = sized(around).select("main", "tkey", "label", F.lit("m").alias("role"), F.pmod(spot, "mb").alias("mi"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("sb") - 1)).alias("si"))
+    s = sized(strays).select("main", "tkey", "label", F.lit("s").alias("role"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("mi"), F.pmod(spot, "sb").alias("si"))
     late = cut(m.unionByName(s).join(body, "tkey").groupBy("main", "mi", "si").applyInArrow(_block_links, "a binary, b binary"))
     if late.limit(1).count():
-        labels = components(nodes, links.union(late))
+        # classes that a late link joins: components of the classes, few beside the texts
+        ends = late.select(F.col("a").alias("node")).union(late.select("b")).distinct()
+        labels = cut(labels.union(ends.join(labels, "node", "left_anti").select("node", "node")))
+        of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+        merged = components(late.join(of("a"), "a").join(of("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        labels = _part(labels, merged.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "node", "left").select("node", F.coalesce("new", "label").alias("label"))
+        labels = cut(labels)
 
     known = texts.select("tkey", "id").join(labels.withColumnRenamed("node", "tkey"), "tkey", "left").select("tkey", "id", F.coalesce("label", "tkey").alias("label"))
     named = known.groupBy("label").agg(F.min("id").alias("class_id"))
-    of_text = known.join(named, "label").select("tkey", "label", "class_id")
-    known_rows = rows.filter("tkey is not null").join(of_text, "tkey").select("doc_id", "tkey", "label", "class_id")
+    # a class of many texts, and a text of many copies, are looked up by parts too
+    of_text = _part(known, named, "label", "tkey")
+    known_rows = _part(rows.filter("tkey is not null").select("doc_id", "tkey"), of_text.select("tkey", "label", "class_id"), "tkey", "doc_id").select("doc_id", "tkey", "label", "class_id")
     return known_rows.union(rows.filter("tkey is null").select("doc_id", "tkey", F.col("tkey").alias("label"), F.col("doc_id").alias("class_id")))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of docs with one row left of each class: that with the smallest doc_id, then text digest.
 
-    Rows with null text all stay. Columns are those of docs.
+    Rows with null text all stay; of rows that repeat both id and text one stays. An
+    empty table stays empty. Columns are those of docs, whatever they are called.
     """
     classes = near_duplicates(docs).filter("tkey is not null")
     key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    first = classes.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "tkey")).alias("x")).select(key(F.col("x.doc_id")).alias("__one"), F.col("x.tkey").alias("__tkey"))
-    marked = docs.withColumns({"__one": key(F.col("doc_id")), "__tkey": F.unhex(F.md5(F.col("text").cast("binary")))})
-    kept = marked.filter("__tkey is not null").join(first, ["__one", "__tkey"], "left_semi").dropDuplicates(["__one", "__tkey"])
-    return kept.select(*own_columns(docs)).union(marked.filter("__tkey is null").select(*own_columns(docs)))
+    first = classes.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "tkey")).alias("x")).select(key(F.col("x.doc_id")).alias("one"), F.col("x.tkey").alias("tkey"))
+    marked = packed(docs, one=key(F.col("doc_id")), tkey=F.unhex(F.md5(F.col("text").cast("binary"))))
+    kept = marked.filter("tkey is not null").join(first, ["one", "tkey"], "left_semi").dropDuplicates(["one", "tkey"])
+    return unpacked(kept.select("row").union(marked.filter("tkey is null").select("row")))
