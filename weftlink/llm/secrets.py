@@ -36,7 +36,7 @@ CLASSES = (
 ALLOW = tuple(
     re.compile(x)
     for x in (
-        r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+[A-Za-z]?",
+        r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+[A-Z]?[a-z]?",
         r"[0-9+/_=-]+",
         r"(?:[A-Za-z]+|[0-9]{1,8})(?:[+/_=-]+(?:[A-Za-z]+|[0-9]{1,8}))+[+/_=-]*",
         r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
