@@ -11,6 +11,7 @@ predecessors at a power of two are looked at besides.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -26,38 +27,34 @@ INNER_PRICE = 6.0
 GRID = 128
 #: Tokens that are packed at once; a sequence doesn't cross from one run to the next.
 RUN = 1 << 19
-#: Pieces of text whose ids a worker remembers.
-MEMO = 400_000
 END = 0
 
 
 class Encoder:
-    """Byte-level BPE ids of whole texts.
+    """Byte-level BPE ids of whole texts, as tokenizers gives them without special tokens added.
 
-    The vocabulary's pattern never joins a blank to what stands before it, so the
-    pieces that single blanks begin are encoded on their own and remembered. A text
-    with any other white space beside a blank is encoded whole by ``tokenizers``. A
-    piece of Latin letters and ASCII is encoded by the same ranks in ``tiktoken``,
-    which is faster for short strings; any other by ``tokenizers``.
+    A text of Latin letters (below U+0250) is encoded by the same ranks in tiktoken,
+    which is faster; any other by tokenizers, whose tables of letters may differ
+    beyond. A special token's string inside a text is that token, as tokenizers has
+    it by default, unless ``plain`` makes it ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain: bool = False) -> None:
         import json
 
         import tiktoken
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings are ordinary text
+        self.whole.encode_special_tokens = plain
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = {c: b for b, c in _byte_letters().items()}
         special = {x["content"] for x in spec["added_tokens"]}
         ranks = {bytes(letters[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in special}
-        self.pieces = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.latin = tiktoken.Encoding("latin", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.tokens = {v: k for k, v in ranks.items()}
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {}
+        self.special = [] if plain else sorted(special)
 
     def ends(self) -> np.ndarray:
         """Of each id, whether a sentence may end behind it."""
@@ -66,38 +63,13 @@ class Encoder:
             out[i] = t.rstrip(b" \"')").endswith((b".", b"!", b"?", b"\n"))
         return out
 
-    def _learn(self, memo: dict[str, bytes | None], words: set[str], lead: str) -> None:
-        if len(memo) > MEMO:
-            memo.clear()
-        one = self.pieces._core_bpe.encode_ordinary
-        for w in words:
-            if w in memo:
-                continue
-            if (lead and not w) or (w and (w[0].isspace() or w[-1].isspace())):
-                memo[w] = None
-            elif w.isascii() or max(w) < "ɐ":
-                memo[w] = np.array(one(lead + w), np.uint32).tobytes()
-            else:
-                memo[w] = np.array(self.whole.encode(lead + w, add_special_tokens=False).ids, np.uint32).tobytes()
-
-    def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [t.split(" ") for t in texts]
-        self._learn(self.first, {p[0] for p in split}, "")
-        seen: set[str] = set()
-        for p in split:
-            seen.update(p[1:])
-        self._learn(self.later, seen, " ")
-        later = self.later.__getitem__
-        for t, p in zip(texts, split, strict=True):
-            try:
-                head = self.first[p[0]]
-                if head is None or (not p[0] and len(p) > 1):
-                    raise TypeError
-                yield np.frombuffer(head + b"".join(map(later, p[1:])), np.uint32)
-            except TypeError:  # white space beside a blank, or at an end
-                yield np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32)
+    def ids(self, text: str) -> np.ndarray:
+        if (text.isascii() or not BEYOND.search(text)) and not any(s in text for s in self.special):
+            return np.array(self.latin._core_bpe.encode_ordinary(text), np.uint32)
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
+BEYOND = re.compile("[^\0-\u024f]")
 #: Fixed value: the pre-tokenisation pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -161,9 +133,9 @@ def choose_cuts(position: np.ndarray, price: np.ndarray, length: int = LENGTH) -
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _packer(path: str):
+def _packer(path: str, plain: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, plain)
         ends = encoder.ends()
         sequence = TaskContext.get().partitionId() << 33
         held: list[tuple[int | None, int, np.ndarray, int]] = []  # doc_id, ids before these, ids, ids of the document
@@ -180,18 +152,16 @@ def _packer(path: str):
         for b in batches:
             ids_of = b.column("doc_id").to_pylist()
             column = b.column("text")
-            for low in range(0, len(ids_of), 64):
-                texts = [t or "" for t in column.slice(low, 64).to_pylist()]
-                for doc, ids in zip(ids_of[low : low + 64], encoder.batch(texts), strict=True):
-                    ids = np.append(ids, np.uint32(END))
-                    at = 0
-                    while at < len(ids):
-                        part = ids[at : at + RUN - tokens]
-                        held.append((doc, at, part, len(ids)))
-                        at += len(part)
-                        tokens += len(part)
-                        if tokens >= RUN:
-                            yield flush()
+            for doc, value in zip(ids_of, column, strict=True):
+                ids = np.append(encoder.ids(value.as_py() or ""), np.uint32(END))
+                at = 0
+                while at < len(ids):
+                    part = ids[at : at + RUN - tokens]
+                    held.append((doc, at, part, len(ids)))
+                    at += len(part)
+                    tokens += len(part)
+                    if tokens >= RUN:
+                        yield flush()
         if held:
             yield flush()
 
@@ -224,15 +194,15 @@ def pack(docs: list[tuple[int | None, int, np.ndarray, int]], ends: np.ndarray,
     return out, len(chosen) - 1
 
 
-def pack_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, plain: bool = False) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A document is its ids and END; null text has END only. Each partition of docs is
-    packed on its own in its order, so nothing is shuffled, and numbers its
-    sequences from its partition's number times 2**33. A document longer than RUN is
-    packed in several runs. Rows that repeat an id are packed as often as they occur.
-    Only doc_id and text are read. tokenizer is a path that every executor has.
+    A document is its ids and END; null or empty text has END only, an empty table no
+    pieces. Each partition of docs is packed on its own in its order, so nothing is
+    shuffled, and numbers its sequences from its partition's number times 2**33. A
+    document longer than RUN is packed in several runs. Rows that repeat an id are
+    packed as often as they occur. Only doc_id and text are read, whatever else there
+    is. tokenizer is a path that every executor has; with plain, special tokens'
+    strings inside texts are ordinary text.
     """
-    return docs.select("doc_id", "text").mapInArrow(_packer(tokenizer), PIECES)
-
-
+    return docs.select("doc_id", "text").mapInArrow(_packer(tokenizer, plain), PIECES)
