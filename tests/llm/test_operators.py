@@ -6,11 +6,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weftlink.llm import exact_topk, near_dedup, packing, quality_rules, queries, secrets, source_mix
+from weftlink.llm import quality_rules, queries, source_mix
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, entries int, h int, tkey int"
@@ -33,31 +32,6 @@ def words_of(t):
     return WORD.findall(t or "")
 
 
-def test_near_duplicates_are_all_found(docs):
-    rows = docs.collect()
-    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
-    assert len(got) == len(rows)
-    parent = {r["doc_id"]: r["doc_id"] for r in rows}
-
-    def top(x):
-        return x if parent[x] == x else top(parent[x])
-
-    def grams(t):
-        w = words_of(t)
-        return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
-
-    g = {r["doc_id"]: (r["text"], grams(r["text"])) for r in rows}
-    for a in g:
-        for b in g:
-            if a < b and g[a][0] is not None and g[b][0] is not None:
-                both, either = sum((g[a][1] & g[b][1]).values()), sum((g[a][1] | g[b][1]).values())
-                if g[a][0] == g[b][0] or (either and both / either >= 0.8):
-                    parent[max(top(a), top(b))] = min(top(a), top(b))
-    assert got == {x: top(x) for x in got}
-    assert near_dedup.keep_first(docs).count() == len(set(got.values()))
-    assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
-
-
 def test_quality_counts(spark, docs):
     labels = spark.createDataFrame([(0, 1, 0), (None, 1, 0), (1, None, 0)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r for r in quality_rules.judge(docs, labels).collect()}
@@ -84,21 +58,6 @@ def test_binomial_tail(spark):
         assert r["k"] >= r["n"] * 0.01 or abs(r["p"] - exact) < 1e-9 * exact + 1e-12
 
 
-def test_secrets(docs):
-    base = [
-        ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 6),
-        ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
-        ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 24),
-    ]
-    got = {r["doc_id"]: r for r in secrets.scan(docs).collect()}
-    for r in docs.collect():
-        found = [(m.start(), i, m.end(), k) for i, (k, p, ok) in enumerate(base) for m in p.finditer(r["text"] or "") if ok(m)]
-        joined = ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
-        assert got[r["doc_id"]]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
-    clean = secrets.remove_secrets(docs)
-    assert clean.columns == docs.columns and not clean.filter(F.col("text").contains("AKIA")).count()
-
-
 def test_mix(docs):
     rows = source_mix.mix(docs).collect()
     assert len(rows) == docs.count()
@@ -113,44 +72,6 @@ def test_mix(docs):
     assert sorted(map(str, rows)) == sorted(map(str, source_mix.mix(docs.repartition(7)).collect()))
 
 
-def test_packing(docs):
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(queries.tokenizer_path())
-    rows = packing.pack_documents(docs, queries.tokenizer_path()).collect()
-    pieces, sequences = defaultdict(list), defaultdict(list)
-    for r in rows:
-        pieces[r["doc_id"]].append((r["start"], r["length"]))
-        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
-    for r in docs.collect():
-        at = 0
-        for start, length in sorted(pieces[r["doc_id"]]):
-            assert start == at
-            at += length
-        assert at == len(t.encode(r["text"] or "", add_special_tokens=False).ids) + 1
-    for s in sequences.values():
-        at = 0
-        for offset, length in sorted(s):
-            assert offset == at
-            at += length
-        assert at <= 1024
-
-
-def test_topk(spark):
-    rnd = np.random.default_rng(5)
-    vecs = [rnd.normal(size=8).astype(float).tolist() for _ in range(200)]
-    rows = [(i, v) for i, v in enumerate(vecs)] + [(200, None), (201, [None] * 8), (202, [float("nan")] * 8), (203, vecs[0]), (204, vecs[0])]
-    kind = dict(spark.read.parquet(f"{DATA}/embeddings.parquet").dtypes)
-    name = next(c for c in kind if kind[c].startswith("array"))
-    df = spark.createDataFrame(rows, f"vec_id long, {name} array<double>")
-    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in exact_topk.top_k(exact_topk.quantised(df), F.col("vec_id") % 50 == 0, 5).collect()}
-    q = {i: np.floor(256 * np.array(v)).astype(int) for i, v in rows if i < 200 or i > 202}
-    for a in range(0, 200, 50):
-        best = sorted((-int(q[a] @ q[b]), b) for b in q if b != a)[:5]
-        assert [got[a, k + 1] for k in range(5)] == [(b, -s) for s, b in best]
-    assert len(got) == 20
-
-
 def test_archives_and_conversations(spark):
     pages = {r["page_id"]: (r["html"] or "").encode() for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
     origin = {}
