@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weftlink.llm import near_dedup, packing, quality_rules, secrets, source_mix
-from weftlink.llm.common import read_table, shared_folder
+from weftlink.llm.common import cut, drop_folder, read_table, shared_folder
 from weftlink.llm.queries import tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -56,10 +56,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces that the stages make of sf_dir's documents; what the stages hand on lies in the shared folder."""
+    """The pieces that the stages make of sf_dir's documents. What the stages hand on goes when the next one has read it, and all of it in the end."""
     root = shared_folder(spark, "pipeline")
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
-    return docs
+    try:
+        for n, (name, stage) in enumerate(STAGES):
+            stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
+            docs = spark.read.parquet(f"{root}/{name}")
+            if n:
+                drop_folder(spark, f"{root}/{STAGES[n - 1][0]}")
+        return cut(docs)
+    finally:
+        drop_folder(spark, root)
