@@ -96,7 +96,7 @@ def records(page_id: int | None, url: str | None, payload: bytes, nth: int = 0,
 
 def member(record: bytes) -> bytes:
     """The record and its end as a gzip member, without the member's last byte, which is LAST."""
-    return gzip.compress(record + b"\r\n\r\n", 5, mtime=0)[:-1]
+    return gzip.compress(record + b"\r\n\r\n", 1, mtime=0)[:-1]
 
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,6 +143,20 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     out.mapInArrow(_write, "record binary").select(F.col("record").cast("string")).write.option("lineSep", LAST).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
+def members(data: bytes, step: int = 1 << 14) -> Iterator[bytes]:
+    """The contents of the gzip members of data, one after another; ValueError if the last one is cut short."""
+    at = 0
+    while at < len(data):
+        d, out = zlib.decompressobj(31), []
+        while not d.eof:
+            if at >= len(data):
+                raise ValueError("a member is cut short")
+            part = data[at : at + step]
+            out.append(d.decompress(part))
+            at += len(part) - len(d.unused_data)
+        yield b"".join(out)
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (lower-case names) and block of each record, found by Content-Length. ValueError if a record is cut short."""
     at = 0
@@ -174,7 +188,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for r in range(b.num_rows):
             out: dict[str, list] = {k: [] for k in names}
-            for f, block in parse(gzip.decompress(b.column("content")[r].as_py())):
+            for f, block in (x for m in members(b.column("content")[r].as_py()) for x in parse(m)):
                 kind, number = f["warc-type"], int(f.get("warc-segment-number", 0))
                 row = dict.fromkeys(names)
                 row |= {"origin": f.get("warc-segment-origin-id", f["warc-record-id"]), "segment": number, "total": int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None}
