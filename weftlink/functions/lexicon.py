@@ -1,7 +1,5 @@
 """Word lists of company names and addresses. They decide which records share keys."""
 
-import unicodedata
-
 LEGAL_SUFFIXES = """
 inc incorporated corp corporation co company ltd limited pvt private llc llp pllc
 enterprises enterprise industries industry technologies technology services service
@@ -13,27 +11,28 @@ participations distribution france etablissement ets cie compagnie groupe
 
 ARTICLES = "the a an le la les l un une du des de d el los las".split()
 
-#: Abbreviation: expansion. Where French and English share one, the French word holds.
-ADDRESS_WORDS = dict(x.split(":") for x in """
-rd:road,st:saint,ave:avenue,blvd:boulevard,dr:drive,ct:court,ln:lane,pl:place,sq:square,terr:terrace,pkwy:parkway,
-hwy:highway,fl:floor,ste:sainte,apt:apartment,bldg:building,no:number,nr:near,opp:opposite,
-r:rue,av:avenue,bd:boulevard,ch:chemin,imp:impasse,all:allee,rte:route,crs:cours,qu:quai,pass:passage,bat:batiment,
-res:residence,zi:zone industrielle,za:zone activite
-""".replace("\n", "").split(","))
-
-#: State code: name. Where India and the US share one, the Indian state holds.
-STATES = dict(x.split(":") for x in """
-al:alabama,ak:alaska,az:arizona,ca:california,co:colorado,ct:connecticut,de:delaware,fl:florida,hi:hawaii,id:idaho,
-il:illinois,in:indiana,ia:iowa,ks:kansas,ky:kentucky,la:louisiana,me:maine,md:maryland,ma:massachusetts,mi:michigan,
-ms:mississippi,mo:missouri,mt:montana,ne:nebraska,nv:nevada,nh:new hampshire,nj:new jersey,nm:new mexico,ny:new york,
-nc:north carolina,nd:north dakota,oh:ohio,ok:oklahoma,or:oregon,pa:pennsylvania,ri:rhode island,sc:south carolina,
-sd:south dakota,tx:texas,ut:utah,vt:vermont,va:virginia,wa:washington,wv:west virginia,wi:wisconsin,wy:wyoming,
-dc:district of columbia,
-ap:andhra pradesh,ar:arunachal pradesh,as:assam,br:bihar,cg:chhattisgarh,dl:delhi,ga:goa,gj:gujarat,hr:haryana,
-hp:himachal pradesh,jh:jharkhand,ka:karnataka,kl:kerala,mp:madhya pradesh,mh:maharashtra,mn:manipur,ml:meghalaya,
-mz:mizoram,nl:nagaland,od:odisha,pb:punjab,rj:rajasthan,sk:sikkim,tn:tamil nadu,tg:telangana,ts:telangana,tr:tripura,
-up:uttar pradesh,uk:uttarakhand,wb:west bengal
-""".replace("\n", "").split(","))
+#: Fixed values, abbreviation: expansion. Of those that French and English share (st, ste) the French word holds.
+ADDRESS_WORDS = {
+    "rd": "road", "st": "saint", "ave": "avenue", "blvd": "boulevard", "dr": "drive", "ct": "court", "ln": "lane", "pl": "place", "sq": "square",
+    "terr": "terrace", "pkwy": "parkway", "hwy": "highway", "fl": "floor", "ste": "sainte", "apt": "apartment", "bldg": "building", "no": "number",
+    "nr": "near", "opp": "opposite", "r": "rue", "av": "avenue", "bd": "boulevard", "ch": "chemin", "imp": "impasse", "all": "allee", "rte": "route",
+    "crs": "cours", "qu": "quai", "pass": "passage", "bat": "batiment", "res": "residence", "zi": "zone industrielle", "za": "zone activite",
+}
+
+#: Fixed values, state code: name. Of those that India and the US share (ar, as, ga, mn, tn and others) the Indian state holds.
+STATES = {
+    "al": "alabama", "ak": "alaska", "az": "arizona", "ca": "california", "co": "colorado", "ct": "connecticut", "de": "delaware", "fl": "florida",
+    "hi": "hawaii", "id": "idaho", "il": "illinois", "in": "indiana", "ia": "iowa", "ks": "kansas", "ky": "kentucky", "la": "louisiana",
+    "me": "maine", "md": "maryland", "ma": "massachusetts", "mi": "michigan", "ms": "mississippi", "mo": "missouri", "mt": "montana",
+    "ne": "nebraska", "nv": "nevada", "nh": "new hampshire", "nj": "new jersey", "nm": "new mexico", "ny": "new york", "nc": "north carolina",
+    "nd": "north dakota", "oh": "ohio", "ok": "oklahoma", "or": "oregon", "pa": "pennsylvania", "ri": "rhode island", "sc": "south carolina",
+    "sd": "south dakota", "tx": "texas", "ut": "utah", "vt": "vermont", "va": "virginia", "wa": "washington", "wv": "west virginia",
+    "wi": "wisconsin", "wy": "wyoming", "dc": "district of columbia", "ap": "andhra pradesh", "ar": "arunachal pradesh", "as": "assam", "br": "bihar",
+    "cg": "chhattisgarh", "dl": "delhi", "ga": "goa", "gj": "gujarat", "hr": "haryana", "hp": "himachal pradesh", "jh": "jharkhand",
+    "ka": "karnataka", "kl": "kerala", "mp": "madhya pradesh", "mh": "maharashtra", "mn": "manipur", "ml": "meghalaya", "mz": "mizoram",
+    "nl": "nagaland", "od": "odisha", "pb": "punjab", "rj": "rajasthan", "sk": "sikkim", "tn": "tamil nadu", "tg": "telangana", "ts": "telangana",
+    "tr": "tripura", "up": "uttar pradesh", "uk": "uttarakhand", "wb": "west bengal",
+}
 
 EXPANSIONS = STATES | ADDRESS_WORDS
 
@@ -58,14 +57,3 @@ CLEANING = (
     (r"[^a-zA-Z0-9\s]", " "),
     (r"\s+", " "),
 )
-
-
-def _latin() -> tuple[str, str]:
-    """Accented Latin letters and their bases, by canonical decomposition."""
-    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c))[0]) for c in range(0xC0, 0x180)]
-    pairs = [(a, b) for a, b in pairs if b.isascii() and b.isalpha()]
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
-
-
-LATIN_FROM, LATIN_TO = _latin()
-LIGATURES = (("ß", "ss"), ("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("Æ", "AE"), ("ø", "o"), ("Ø", "O"))

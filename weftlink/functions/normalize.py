@@ -6,22 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import lexicon as lx
+from .transliterate import ascii_text
 
 
-def words_literal(words) -> Column:
-    """A constant array; one expression that is folded, however many words."""
-    return F.split(F.lit(" ".join(words)), " ")
+def listed(t: Column, words) -> Column:
+    """Whether the word is in a fixed list; one look into a hash set, however long the list is."""
+    return t.isin(*sorted(set(words)))
 
 
 def clean(c: Column) -> Column:
-    """Lower-case ASCII words of a name or address; '' for null and the word null.
-
-    Accented Latin letters lose their accents; letters of other scripts are dropped.
-    """
-    s = F.when(c.isNull() | (c == "null"), "").otherwise(c)
-    for a, b in lx.LIGATURES:
-        s = F.replace(s, F.lit(a), F.lit(b))
-    s = F.lower(F.regexp_replace(F.translate(s, lx.LATIN_FROM, lx.LATIN_TO), r"[^\x00-\x7F]", ""))
+    """Lower-case ASCII words of a name or address; '' for null and the word null. Other scripts are spelt in ASCII."""
+    s = F.lower(ascii_text(F.when(c.isNull() | (c == "null"), "").otherwise(c)))
     for pattern, new in lx.CLEANING:
         s = F.regexp_replace(s, pattern, new.replace("\\", "$"))
     return F.trim(s)
@@ -34,16 +29,16 @@ def tokens(c: Column) -> Column:
 def core_name(cleaned: Column) -> Column:
     """The name without legal words (unless nothing else is left) and without one leading article."""
     every = tokens(cleaned)
-    kept = F.filter(every, lambda t: ~F.array_contains(words_literal(lx.LEGAL_SUFFIXES), t))
+    kept = F.filter(every, lambda t: ~listed(t, lx.LEGAL_SUFFIXES))
     kept = F.when(F.size(kept) > 0, kept).otherwise(every)
-    drop = (F.size(kept) > 1) & F.array_contains(words_literal(lx.ARTICLES), F.element_at(kept, 1))
+    drop = (F.size(kept) > 1) & listed(F.element_at(kept, 1), lx.ARTICLES)
     return F.array_join(F.when(drop, F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1)))).otherwise(kept), " ")
 
 
 def expand_address(cleaned: Column) -> Column:
     """The cleaned address's words with abbreviations and state codes written out; an array."""
     words = F.str_to_map(F.lit(",".join(f"{a}:{b}" for a, b in lx.EXPANSIONS.items())), F.lit(","), F.lit(":"))
-    return F.transform(tokens(cleaned), lambda t: F.coalesce(F.try_element_at(words, t), t))
+    return F.transform(tokens(cleaned), lambda t: F.when(listed(t, lx.EXPANSIONS), F.try_element_at(words, t)).otherwise(t))
 
 
 def numbers(cleaned: Column) -> Column:
@@ -62,6 +57,11 @@ def token_sorted(c: Column) -> Column:
     return F.array_join(F.array_sort(tokens(c)), " ")
 
 
+def token_sorted_address(cleaned: Column) -> Column:
+    """The expanded words in order; an abbreviation that stands for two words is one."""
+    return F.array_join(F.array_sort(expand_address(cleaned)), " ")
+
+
 def normalize(records: DataFrame) -> DataFrame:
     """records (entity_id, business_name, business_address, ...) with clean_name, core_name, clean_addr, nums and primary_num."""
     out = records.withColumns({"clean_name": clean(F.col("business_name")), "__addr": clean(F.col("business_address"))})

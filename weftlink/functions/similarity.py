@@ -1,11 +1,19 @@
-"""String similarities. Levenshtein is built in; the others run on Arrow batches, once per distinct pair of a batch."""
+"""String similarities. Levenshtein and all that needs tokens is built in; two kernels run on Arrow batches, whole columns at a time."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+
+from .normalize import tokens
+
+#: Cells of a comparison table that a kernel holds at once.
+CELLS = 1 << 22
 
 
 def lev_sim(a: Column, b: Column) -> Column:
@@ -13,76 +21,125 @@ def lev_sim(a: Column, b: Column) -> Column:
     return F.when((a != "") & (b != ""), 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))).otherwise(0.0)
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine-word-parallel step a character of b."""
-    at: dict[str, int] = {}
-    for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << i
-    every = (1 << len(a)) - 1
-    free = every
-    for c in b:
-        hit = free & at.get(c, 0)
-        free = ((free + hit) | (free - hit)) & every
-    return len(a) - free.bit_count()
-
-
-def ratio(a: str, b: str) -> float:
-    n = len(a) + len(b)
-    return 1 - (n - 2 * lcs(a, b)) / n if n else 1.0
-
-
-def jaro_winkler(a: str, b: str) -> float:
-    if not a or not b:
-        return 0.0
-    window = max(max(len(a), len(b)) // 2 - 1, 0)
-    used, left = [False] * len(b), []
-    for i, c in enumerate(a):
-        for j in range(max(0, i - window), min(len(b), i + window + 1)):
-            if not used[j] and b[j] == c:
-                used[j] = True
-                left.append(c)
+def _codes(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Code points of the strings, one row each, padded with 0."""
+    width = max(1, int(sizes.max(initial=0)))
+    return x.astype(f"U{width}").view(np.uint32).reshape(len(x), width)
+
+
+def _blocks(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, code points and lengths of both sides, in runs of rows of like length."""
+    la, lb = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    order = np.argsort(np.maximum(la, lb), kind="stable")
+    at = 0
+    while at < len(order):
+        step, longest = len(order) - at, 0
+        while step:  # fewer rows until the longest of them fits
+            longest = max(la[order[at + step - 1]], lb[order[at + step - 1]], 1)
+            fit = max(1, CELLS // int(longest * longest))
+            if step <= fit:
                 break
-    m = len(left)
-    if not m:
-        return 0.0
-    t = sum(x != y for x, y in zip(left, (c for c, u in zip(b, used) if u), strict=True)) // 2
-    jaro = (m / len(a) + m / len(b) + (m - t) / m) / 3
-    same = 0
-    while same < min(4, len(a), len(b)) and a[same] == b[same]:
-        same += 1
-    return jaro + same * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
-
-
-def token_sort(a: str, b: str) -> float:
-    return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split()))) if a and b else 0.0
-
-
-def token_set(a: str, b: str) -> float:
-    """The best of three ratios: the two rests with the shared words before them, and the shared words with each."""
-    sa, sb = set(a.split()), set(b.split())
-    if not sa or not sb:
-        return 0.0
-    shared, ra, rb = sa & sb, " ".join(sorted(sa - sb)), " ".join(sorted(sb - sa))
-    if shared and (not ra or not rb):
-        return 1.0
-    s = len(" ".join(shared))
-    la, lb = s + bool(s) + len(ra), s + bool(s) + len(rb)
-    best = 1 - (len(ra) + len(rb) - 2 * lcs(ra, rb)) / (la + lb)
-    if s:
-        best = max(best, 1 - (1 + len(ra)) / (s + la), 1 - (1 + len(rb)) / (s + lb))
-    return best
-
-
-SCORES = StructType([StructField(x, DoubleType()) for x in ("jw", "tsort", "tset")])
-
-
-@F.pandas_udf(SCORES)
-def fuzzy(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    """Jaro-Winkler, sorted-token and token-set similarity of two columns; 0 where either is empty."""
-    done: dict[tuple[str, str], tuple[float, float, float]] = {}
-    out = []
-    for x in zip(a.fillna(""), b.fillna(""), strict=True):
-        if x not in done:
-            done[x] = (jaro_winkler(*x), token_sort(*x), token_set(*x)) if x[0] and x[1] else (0.0, 0.0, 0.0)
-        out.append(done[x])
-    return pd.DataFrame(out, columns=["jw", "tsort", "tset"])
+            step = max(fit, step // 2) if step // 2 > fit else fit
+        rows = order[at : at + step]
+        yield rows, _codes(a[rows], la[rows]), la[rows], _codes(b[rows], lb[rows]), lb[rows]
+        at += step
+
+
+def lcs_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of the pairs of strings: a column of the table is the bits of 64-bit words."""
+    out = np.zeros(len(a), np.int64)
+    for rows, ca, la, cb, lb in _blocks(a, b):
+        words = -(-ca.shape[1] // 64)
+        valid = np.arange(ca.shape[1]) < la[:, None]
+        every = _bits(valid, words)
+        free = every.copy()
+        for j in range(cb.shape[1]):
+            m = _bits(valid & (ca == cb[:, j, None]) & (j < lb)[:, None], words)
+            hit, rest = free & m, free & ~m
+            carry = np.zeros(len(rows), np.uint64)
+            for w in range(words):
+                total = free[:, w] + hit[:, w]
+                over = total < free[:, w]
+                total += carry
+                carry = (over | (total < carry)).astype(np.uint64)
+                free[:, w] = total
+            free = (free | rest) & every
+        out[rows] = la - np.bitwise_count(free).sum(axis=1)
+    return out
+
+
+def _bits(flags: np.ndarray, words: int) -> np.ndarray:
+    packed = np.packbits(flags, axis=1, bitorder="little")
+    return np.pad(packed, ((0, 0), (0, words * 8 - packed.shape[1]))).view(np.uint64)
+
+
+def jaro_winkler(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarities of the pairs of strings; 0 where either is empty. The prefix counts above 0.7, up to four characters."""
+    out = np.zeros(len(a))
+    for rows, ca, la, cb, lb in _blocks(a, b):
+        place = np.arange(cb.shape[1])
+        window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
+        used, left = np.zeros(cb.shape, bool), np.zeros(ca.shape, bool)
+        inside = place < lb[:, None]
+        for i in range(ca.shape[1]):
+            free = (cb == ca[:, i, None]) & ~used & inside & (np.abs(place - i) <= window[:, None]) & (i < la)[:, None]
+            hit = np.flatnonzero(free.any(axis=1))
+            used[hit, free[hit].argmax(axis=1)] = True
+            left[hit, i] = True
+        m = left.sum(axis=1)
+        first, second = (np.take_along_axis(c, np.argsort(~f, axis=1, kind="stable"), 1) for c, f in ((ca, left), (cb, used)))
+        width = min(first.shape[1], second.shape[1])
+        swapped = ((first[:, :width] != second[:, :width]) & (np.arange(width) < m[:, None])).sum(axis=1) // 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            jaro = np.where(m > 0, (m / la + m / lb + (m - swapped) / m) / 3, 0.0)
+        k = min(4, width)
+        same = np.cumprod((ca[:, :k] == cb[:, :k]) & (np.arange(k) < np.minimum(la, lb)[:, None]), axis=1).sum(axis=1)
+        out[rows] = np.where(jaro > 0.7, jaro + same * 0.1 * (1 - jaro), jaro)
+    return out
+
+
+KERNELS = StructType([StructField("jw", DoubleType()), StructField("sorted", LongType()), StructField("rest", LongType())])
+
+
+@F.pandas_udf(KERNELS)
+def _kernels(a: pd.Series, b: pd.Series, sa: pd.Series, sb: pd.Series, ra: pd.Series, rb: pd.Series) -> pd.DataFrame:
+    """Jaro-Winkler of a and b, and common subsequences of the other two pairs. Equal and empty strings need no table."""
+
+    def kernel(f, x: pd.Series, y: pd.Series, of_equal) -> np.ndarray:
+        x, y = x.to_numpy(), y.to_numpy()
+        out = np.where(x == y, of_equal(x), 0.0)
+        open_ = np.flatnonzero((x != y) & (x != "") & (y != ""))
+        out[open_] = f(x[open_].astype(str), y[open_].astype(str))
+        return out
+
+    length = lambda x: np.fromiter(map(len, x), np.float64, len(x))
+    return pd.DataFrame({
+        "jw": kernel(jaro_winkler, a, b, lambda x: (x != "").astype(float)),
+        "sorted": kernel(lcs_lengths, sa, sb, length).astype(np.int64),
+        "rest": kernel(lcs_lengths, ra, rb, length).astype(np.int64),
+    })
+
+
+def with_fuzzy(df: DataFrame, out: str, a: Column, b: Column) -> DataFrame:
+    """df with the struct column out: jw, tsort and tset, the Jaro-Winkler, sorted-token and token-set similarities of two texts; 0 where either is empty."""
+    none = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
+    df = df.withColumn("__f", F.struct(none[0].alias("a"), none[1].alias("b"), F.array_sort(tokens(none[0])).alias("ta"), F.array_sort(tokens(none[1])).alias("tb")))
+    f = lambda x: F.col(f"__f.{x}")
+    joined = lambda c: F.array_join(c, " ")
+    df = df.withColumn("__g", F.struct(
+        joined(f("ta")).alias("sa"), joined(f("tb")).alias("sb"), joined(F.array_intersect(f("ta"), f("tb"))).alias("both"),
+        joined(F.array_except(f("ta"), f("tb"))).alias("ra"), joined(F.array_except(f("tb"), f("ta"))).alias("rb"),
+    ))
+    g = lambda x: F.col(f"__g.{x}")
+    df = df.withColumn("__k", _kernels(f("a"), f("b"), g("sa"), g("sb"), g("ra"), g("rb")))
+    ls, lr = F.length(g("sa")) + F.length(g("sb")), F.length(g("both"))
+    la, lb = F.length(g("ra")), F.length(g("rb"))
+    gap = F.when(lr > 0, 1).otherwise(0)
+    # the best of three: the two rests with the shared words before them, and the shared words with each
+    wa, wb = lr + gap + la, lr + gap + lb
+    rests = 1 - (la + lb - 2 * F.col("__k.rest")) / (wa + wb)
+    best = F.when(lr == 0, rests).otherwise(F.greatest(rests, 1 - (1 + la) / (lr + wa), 1 - (1 + lb) / (lr + wb)))
+    some = (F.size(f("ta")) > 0) & (F.size(f("tb")) > 0)
+    tset = F.when(~some, 0.0).when((lr > 0) & ((la == 0) | (lb == 0)), 1.0).otherwise(best)
+    tsort = F.when((f("a") == "") | (f("b") == ""), 0.0).when(ls == 0, 1.0).otherwise(1 - (ls - 2 * F.col("__k.sorted")) / ls)
+    return df.withColumn(out, F.struct(F.col("__k.jw").alias("jw"), tsort.alias("tsort"), tset.alias("tset"))).drop("__f", "__g", "__k")

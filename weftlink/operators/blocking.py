@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
-from ..functions.normalize import tokens, words_literal
+from ..functions.normalize import listed, tokens
 
 #: Postings that a key may have among the targets of a country: by the key type's first letters, else the other limit.
 NAME_LIMIT, OTHER_LIMIT = 250, 100
@@ -28,7 +28,6 @@ def _tied(a: Column, b: Column) -> Column:
 def name_keys(n: Column, core: Column) -> list[Column]:
     """Keys of the core name; n is the array of its words."""
     joined = F.array_join(n, "")
-    listed = words_literal(lx.LEGAL_SUFFIXES + lx.ARTICLES)
     get = lambda i: F.try_element_at(n, F.lit(i))
     return [
         _keys("compact_n", F.array(joined), F.length(joined) >= 4),
@@ -37,14 +36,13 @@ def name_keys(n: Column, core: Column) -> list[Column]:
         _keys("n2", F.array(_tied(get(1), get(2))), F.size(n) >= 2),
         _keys("sort_n", F.array(F.array_join(F.array_sort(n), " ")), F.size(n) >= 2),
         _keys("n1", F.array(get(1)), (F.size(n) == 1) & (F.length(get(1)) >= 3)),
-        _keys("n_tok", F.filter(n, lambda t: (F.length(t) >= 4) & ~F.array_contains(listed, t)), F.lit(True)),
+        _keys("n_tok", F.filter(n, lambda t: (F.length(t) >= 4) & ~listed(t, lx.LEGAL_SUFFIXES + lx.ARTICLES)), F.lit(True)),
     ]
 
 
 def rare_words(a: Column) -> Column:
     """The address words that aren't common, short or numbers."""
-    common = words_literal(sorted(set(lx.COMMON_ADDRESS_WORDS)))
-    return F.filter(a, lambda t: ~F.array_contains(common, t) & (F.length(t) >= 3) & ~t.rlike("^[0-9]+$"))
+    return F.filter(a, lambda t: ~listed(t, lx.COMMON_ADDRESS_WORDS) & (F.length(t) >= 3) & ~t.rlike("^[0-9]+$"))
 
 
 def address_keys(n: Column, a: Column, rare: Column, nums: Column) -> list[Column]:

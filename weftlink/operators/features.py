@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import char_ngrams, tokens
-from ..functions.similarity import fuzzy, lev_sim
+from ..functions.similarity import lev_sim, with_fuzzy
 
 NAME = ["name_exact_clean", "name_exact_core", "name_lev_sim", "name_jw_sim", "name_token_sort", "name_token_set", "name_token_jaccard", "name_token_overlap", "name_len_diff", "name_len_ratio", "name_prefix_match", "name_char_3gram", "name_first_token_match", "name_first_token_conflict"]
 ADDRESS = ["addr_has_val", "addr_exact_clean", "addr_lev_sim", "addr_jw_sim", "addr_token_sort", "addr_token_set", "addr_token_jaccard", "num_common_count", "num_has_match", "num_has_mismatch", "primary_num_match", "primary_num_mismatch", "primary_num_diff"]
@@ -77,7 +77,7 @@ def features(sides: DataFrame, python: bool = True) -> DataFrame:
     }).drop("t1", "t2", "f1", "f2")
     if not python:
         return out
-    out = out.withColumns({"nf": fuzzy(n1, n2), "af": fuzzy(F.when(addr, a1).otherwise(""), F.when(addr, a2).otherwise(""))})
+    out = with_fuzzy(with_fuzzy(out, "nf", n1, n2), "af", F.when(addr, a1).otherwise(""), F.when(addr, a2).otherwise(""))
     ns = c("nf.tsort")
     eff = F.when(a2 != "", c("af.tsort")).otherwise(ns)
     out = out.withColumns({

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import normalize as nm
-from ..functions.similarity import fuzzy, lev_sim
+from ..functions.similarity import lev_sim, with_fuzzy
 from ..operators import assign, blocking, evaluate, features, scoring
 from ..sources import fixtures, tsv
 from . import pipeline
@@ -138,6 +138,10 @@ def _pairs(spark, d):
     return pipeline.pairs(*_sides(spark, d))
 
 
+def _fuzzy(spark, d):
+    return with_fuzzy(_pairs(spark, d), "f", F.col("clean_name1"), F.col("clean_name2"))
+
+
 @query
 def sim_levenshtein(spark, d):
     return _pairs(spark, d).select("s1_id", "tid", F.round(lev_sim(F.col("clean_name1"), F.col("clean_name2")), 6).alias("sim"))
@@ -145,13 +149,12 @@ def sim_levenshtein(spark, d):
 
 @query
 def sim_jaro_winkler(spark, d):
-    return _pairs(spark, d).select("s1_id", "tid", F.round(fuzzy("clean_name1", "clean_name2")["jw"], 6).alias("sim"))
+    return _fuzzy(spark, d).select("s1_id", "tid", F.round("f.jw", 6).alias("sim"))
 
 
 @query
 def sim_token_ratios(spark, d):
-    f = _pairs(spark, d).select("s1_id", "tid", fuzzy("clean_name1", "clean_name2").alias("f"))
-    return f.select("s1_id", "tid", F.round("f.tsort", 6).alias("token_sort"), F.round("f.tset", 6).alias("token_set"))
+    return _fuzzy(spark, d).select("s1_id", "tid", F.round("f.tsort", 6).alias("token_sort"), F.round("f.tset", 6).alias("token_set"))
 
 
 @query

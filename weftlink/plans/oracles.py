@@ -19,11 +19,15 @@ def _word(k: str) -> str:
     return " || ".join(f"{_list(SYLLABLES)}[(((({k}) * 7919) % 83521) // {d}) % 17 + 1]" for d in (1, 17, 289, 4913))
 
 
+#: What strip_accents leaves of the Latin letters and signs in the tables; a rule of its own, apart from the engine's table.
+LEFT = {"ß": "ss", "œ": "oe", "Œ": "OE", "æ": "ae", "Æ": "AE", "ø": "o", "Ø": "O", "’": "'", "‘": "'", "–": "-", "—": "--", "…": "...", "\xa0": " "}
+
+
 def _clean(c: str) -> str:
     s = f"CASE WHEN {c} IS NULL OR {c} = 'null' THEN '' ELSE {c} END"
-    for a, b in lx.LIGATURES:
-        s = f"replace({s}, '{a}', '{b}')"
-    s = f"lower(regexp_replace(translate({s}, '{lx.LATIN_FROM}', '{lx.LATIN_TO}'), '[^\\x00-\\x7F]', '', 'g'))"
+    for a, b in LEFT.items():
+        s = f"replace({s}, '{a}', {_text(b)})"
+    s = f"lower(regexp_replace(strip_accents({s}), '[^\\x00-\\x7F]', '', 'g'))"
     for pattern, new in lx.CLEANING:
         s = f"regexp_replace({s}, {_text(pattern)}, {_text(new)}, 'g')"
     return f"trim({s})"
@@ -161,6 +165,50 @@ sides AS (SELECT c.*, l.ordinal AS s1_ordinal, {_SIDE}, {_tokens("l.core_name")}
 f0 AS (SELECT * REPLACE (list_distinct(t1) AS t1, list_distinct(t2) AS t2, list_distinct(d1) AS d1, list_distinct(d2) AS d2) FROM sides),
 feat AS (SELECT country, s1_id, tid, s1_ordinal, primary_num1, primary_num2, {", ".join(f"CAST({x} AS DOUBLE) AS {n}" for n, x in NATIVE.items())} FROM f0)"""
 
+
+def _common(a: str, b: str) -> str:
+    """Length of the longest common subsequence: the table's column as the bits of one number, a character of b after another. Texts of up to 120 characters."""
+    masks = f"list_transform(string_split({b}, ''), lambda c: list_sum(list_transform(range(length({a})), lambda i: CASE WHEN substr({a}, i + 1, 1) = c THEN 1::HUGEINT << i::HUGEINT ELSE 0::HUGEINT END))::HUGEINT)"
+    every = f"((1::HUGEINT << length({a})::HUGEINT) - 1)"
+    step = f"((v + (v & m)) | (v & ({every} - m))) & {every}"
+    return f"(length({a}) - bit_count(list_reduce({masks}, lambda v, m: {step}, {every})))"
+
+
+def _token_ratios(a: str, b: str) -> str:
+    """CTEs that give, for each distinct pair of two texts, their sorted-token and token-set similarities."""
+    la, lb, both = "length(ra)", "length(rb)", "length(shared)"
+    gap = f"(CASE WHEN {both} > 0 THEN 1 ELSE 0 END)"
+    wa, wb = f"({both} + {gap} + {la})", f"({both} + {gap} + {lb})"
+    rests = f"(1 - ({la} + {lb} - 2 * CASE WHEN ra = '' OR rb = '' THEN 0 ELSE {_common('ra', 'rb')} END) / ({wa} + {wb}))"
+    sorts = f"(1 - (length(sa) + length(sb) - 2 * {_common('sa', 'sb')}) / (length(sa) + length(sb)))"
+    return f"""
+texts AS (SELECT DISTINCT {a} AS x, {b} AS y FROM f0),
+listed AS (SELECT x, y, list_sort({_tokens("x")}) AS tx, list_sort({_tokens("y")}) AS ty FROM texts),
+cut AS (SELECT x, y, array_to_string(tx, ' ') AS sa, array_to_string(ty, ' ') AS sb, array_to_string(list_sort(list_intersect(list_distinct(tx), list_distinct(ty))), ' ') AS shared,
+  array_to_string(list_sort(list_filter(list_distinct(tx), lambda t: NOT list_contains(ty, t))), ' ') AS ra,
+  array_to_string(list_sort(list_filter(list_distinct(ty), lambda t: NOT list_contains(tx, t))), ' ') AS rb FROM listed),
+ratios AS (SELECT x, y, CASE WHEN x = '' OR y = '' THEN 0.0 ELSE jaro_winkler_similarity(x, y) END AS jw,
+  CASE WHEN x = '' OR y = '' THEN 0.0 WHEN sa = sb THEN 1.0 ELSE {sorts} END AS tsort,
+  CASE WHEN sa = '' OR sb = '' THEN 0.0 WHEN shared <> '' AND (ra = '' OR rb = '') THEN 1.0 WHEN shared = '' THEN {rests}
+    ELSE greatest({rests}, 1 - (1 + {la}) / ({both} + {wa}), 1 - (1 + {lb}) / ({both} + {wb})) END AS tset FROM cut)"""
+
+
+_ADDR1, _ADDR2 = (f"CASE WHEN {_ADDR} THEN clean_addr{i} ELSE '' END" for i in (1, 2))
+_EFF = "(CASE WHEN clean_addr2 <> '' THEN a.tsort ELSE n.tsort END)"
+FUZZY = {
+    "name_jw_sim": "n.jw", "name_token_sort": "n.tsort", "name_token_set": "n.tset", "addr_jw_sim": "a.jw", "addr_token_sort": "a.tsort", "addr_token_set": "a.tset",
+    "cross_prod": f"n.tsort * {_EFF}", "cross_sum": f"n.tsort + {_EFF}", "cross_max": f"greatest(n.tsort, {_EFF})", "cross_min": f"least(n.tsort, {_EFF})",
+    "name_high_but_num_conflict": _flag(f"n.tsort >= 0.75 AND {_KNOWN} AND primary_num1 <> primary_num2"),
+}
+
+
+def _named(ctes: str, prefix: str) -> str:
+    """The chain of _token_ratios under names of its own."""
+    for name in ("texts", "listed", "cut", "ratios"):
+        ctes = ctes.replace(f"{name} AS (", f"{prefix}_{name} AS (").replace(f"FROM {name})", f"FROM {prefix}_{name})")
+    return ctes
+
+
 _Z = " + ".join([str(BIAS), *(f"({w} * {n})" for n, w in WEIGHTS.items())])
 SCORES = f"""
 lin AS (SELECT *, round(1 / (1 + exp(-({_Z}))), 9) AS prob FROM feat),
@@ -219,6 +267,11 @@ ORACLES: dict[str, str] = {
     "candidate_recall": _sql(3, "SELECT count(*) AS true_links, count(rank) AS found_links, round(count(rank) / count(*), 6) AS candidate_recall FROM truth LEFT JOIN topk USING (s1_id, tid)"),
     "sim_levenshtein": _sql(4, f"SELECT s1_id, tid, round({_lev('clean_name1', 'clean_name2')}, 6) AS sim FROM f0"),
     "sim_jaro_winkler": _sql(4, "SELECT s1_id, tid, round(CASE WHEN clean_name1 = '' OR clean_name2 = '' THEN 0.0 ELSE jaro_winkler_similarity(clean_name1, clean_name2) END, 6) AS sim FROM f0"),
+    "sim_token_ratios": _sql(4, "SELECT s1_id, tid, round(tsort, 6) AS token_sort, round(tset, 6) AS token_set FROM f0 JOIN ratios ON x = clean_name1 AND y = clean_name2", _token_ratios("clean_name1", "clean_name2")),
+    "features_all": _sql(
+        4, f"SELECT f0.s1_id, f0.tid, {', '.join(f'round(CAST({x} AS DOUBLE), 6) AS {n}' for n, x in (FUZZY | NATIVE).items())} FROM f0 JOIN n_ratios n ON n.x = clean_name1 AND n.y = clean_name2 JOIN a_ratios a ON a.x = {_ADDR1} AND a.y = {_ADDR2}",
+        _named(_token_ratios("clean_name1", "clean_name2"), "n"), _named(_token_ratios(_ADDR1, _ADDR2), "a"),
+    ),
     "features_native": _sql(4, f"SELECT s1_id, tid, {_all(NATIVE)} FROM feat"),
     "score_linear": _sql(5, "SELECT s1_id, tid, round(prob, 6) AS prob FROM lin"),
     "number_penalty": _sql(5, "SELECT s1_id, tid, round(prob, 6) AS prob FROM pen"),
