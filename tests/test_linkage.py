@@ -4,11 +4,14 @@ import glob
 import os
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from weftlink.functions import normalize as normalize_module
+from weftlink.functions import similarity
 from weftlink.functions.normalize import normalize
-from weftlink.functions.similarity import jaro_winkler, lcs, token_set
-from weftlink.operators import assign, blocking, evaluate
+from weftlink.operators import assign, blocking, evaluate, scoring
 from weftlink.plans import catalogue
 from weftlink.plans.pipeline import match
 from weftlink.sources import tsv
@@ -38,19 +41,112 @@ def test_key_limits(spark, ktype, n, kept):
     assert (blocking.active_keys(keys).count() == n) is kept
 
 
-def test_lcs_and_token_set():
+def plain_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def plain_jaro_winkler(a, b):
+    if not a or not b:
+        return 0.0
+    window = max(max(len(a), len(b)) // 2 - 1, 0)
+    used, left = set(), []
+    for i, c in enumerate(a):
+        for j in range(max(0, i - window), min(len(b), i + window + 1)):
+            if j not in used and b[j] == c:
+                used.add(j)
+                left.append(c)
+                break
+    m = len(left)
+    if not m:
+        return 0.0
+    swapped = sum(x != b[j] for x, j in zip(left, sorted(used), strict=True)) // 2
+    jaro = (m / len(a) + m / len(b) + (m - swapped) / m) / 3
+    same = len(os.path.commonprefix([a[:4], b[:4]]))
+    return jaro + same * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
+
+
+def plain_ratio(a, b):
+    return 2 * plain_lcs(a, b) / (len(a) + len(b)) if a or b else 1.0
+
+
+def plain_token_set(a, b):
+    sa, sb = set(a.split()), set(b.split())
+    if not sa or not sb:
+        return 0.0
+    both, ra, rb = " ".join(sorted(sa & sb)), " ".join(sorted(sa - sb)), " ".join(sorted(sb - sa))
+    if both and (not ra or not rb):
+        return 1.0
+    # the parts that differ are compared; what is shared stands before both
+    wa, wb = len(both) + bool(both) + len(ra), len(both) + bool(both) + len(rb)
+    best = [1 - (len(ra) + len(rb) - 2 * plain_lcs(ra, rb)) / (wa + wb)]
+    if both:
+        best += [plain_ratio(both, f"{both} {ra}"), plain_ratio(both, f"{both} {rb}")]
+    return max(best)
+
+
+def test_string_kernels():
     rnd = random.Random(1)
-    for _ in range(200):
-        a, b = ("".join(rnd.choices("abc ", k=rnd.randint(0, 12))) for _ in range(2))
-        row = [0] * (len(b) + 1)
-        for x in a:
-            new = [0]
-            for j, y in enumerate(b):
-                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
-            row = new
-        assert lcs(a, b) == row[-1]
-    assert token_set("a b", "b a c") == 1.0 and token_set("", "a") == 0.0
-    assert abs(jaro_winkler("martha", "marhta") - 0.9611111) < 1e-6
+    a = ["".join(rnd.choices("abcé ", k=rnd.choice([0, 1, 5, 30, 63, 64, 65, 140]))) for _ in range(400)]
+    b = ["".join(c for c in x if rnd.random() < 0.8) + "".join(rnd.choices("abx", k=rnd.randint(0, 5))) for x in a]
+    x, y = np.array(a, object), np.array(b, object)
+    assert similarity.lcs_lengths(x, y).tolist() == [plain_lcs(*p) for p in zip(a, b, strict=True)]
+    assert np.allclose(similarity.jaro_winkler(x, y), [plain_jaro_winkler(*p) for p in zip(a, b, strict=True)])
+    assert abs(similarity.jaro_winkler(np.array(["martha"]), np.array(["marhta"]))[0] - 0.9611111) < 1e-6
+    assert len(similarity.lcs_lengths(x[:0], y[:0])) == 0
+
+
+def test_fuzzy_columns(spark):
+    rnd = random.Random(2)
+    word = lambda: rnd.choice(["oak", "mill", "st", "road", "12", "a", "bakery", "bakeri"])
+    rows = [(" ".join(word() for _ in range(rnd.randint(0, 5))), " ".join(word() for _ in range(rnd.randint(0, 5)))) for _ in range(300)] + [(None, "a"), ("", ""), ("a", None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for r in similarity.with_fuzzy(df, "f", F.col("a"), F.col("b")).collect():
+        a, b = r["a"] or "", r["b"] or ""
+        want = (plain_jaro_winkler(a, b), plain_ratio(*(" ".join(sorted(x.split())) for x in (a, b))) if a and b else 0.0, plain_token_set(a, b))
+        assert tuple(r["f"]) == pytest.approx(want), (a, b)
+
+
+@pytest.mark.parametrize(
+    ("text", "cleaned"),
+    [
+        ("L’Oréal", "l oreal"), ("foo–bar", "foo bar"), ("foo—bar", "foo bar"), ("a\xa0b", "a b"), ("“Quoted” Ltd…", "quoted ltd"), ("Łódź", "lodz"), ("Þór", "thor"),
+        ("Straße", "strasse"), ("Œuvre", "oeuvre"), ("Ærø", "aero"), ("Ñandú", "nandu"), ("ħal Għargħur", "hal gharghur"), ("Đorđe", "dorde"), ("İzmir ı", "izmir i"),
+        ("शर्मा Stores", "shrmaa stores"), ("राम", "raam"), ("ऑफिस १२", "onphis 12"), ("Москва", "moskva"), ("Щука", "shchuka"), ("Αθήνα", "athena"), ("ＡＢＣ１", "abc1"),
+        ("5 °C", "5 degc"), ("½ pint", "1 2 pint"), ("a😀b", "ab"), ("漢字 x", "x"), ("No. 5 Main", "5 main"), ("№ 7", "7"), ("null", ""), ("", ""), (None, ""),
+    ],
+)
+def test_cleaned_text(spark, text, cleaned):
+    assert spark.createDataFrame([(text,)], "t string").select(normalize_module.clean(F.col("t"))).first()[0] == cleaned
+
+
+def test_sorted_address(spark):
+    got = spark.createDataFrame([("12 rd za x",)], "t string").select(normalize_module.token_sorted_address(F.col("t"))).first()[0]
+    assert got == "12 road x zone activite"
+
+
+def test_single_precision_thresholds(spark):
+    rows = [("x", "a", f"S2-{i}", 0, p) for i, p in enumerate([0.70, 0.7000001, 0.75])]
+    scores = spark.createDataFrame(rows, "country string, s1_id string, tid string, s1_ordinal long, prob double")
+    kept = assign.above_threshold(scores.withColumn("prob", scoring.single(F.col("prob"))), 0.70, 0.75)
+    assert sorted(r["tid"] for r in kept.collect()) == ["S2-1", "S2-2"]
+
+
+def test_skewed_keys(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "HEAVY", 3)
+    key = lambda name, k, v: [(f"{name}{i}", "x", "n1", v) for i in range(k)]
+    schema = "entity_id string, country string, ktype string, kval string"
+    s1 = spark.createDataFrame(key("a", 40, "hot") + key("b", 2, "cold") + key("c", 9, "gone"), schema)
+    targets = spark.createDataFrame(key("t", 5, "hot") + key("u", 3, "cold") + key("v", 300, "gone") + key("w", 251, "too") + key("x", 260, "toos") + key("y", 255, "much") + key("z", 290, "many"), schema)
+    active = blocking.active_keys(targets)
+    assert active.count() == 8
+    pairs = blocking.candidate_pairs(s1, active)
+    assert pairs.count() == 40 * 5 + 2 * 3 and pairs.filter("shared_keys != 1").count() == 0
 
 
 def test_assignment_ties_and_thresholds(spark):
@@ -73,8 +169,18 @@ def test_metrics_of_nothing(spark):
 def test_record_files(spark, tmp_path):
     (tmp_path / "r.tsv").write_text('id\tn\ta\tc\ne1\tA "q"\t1 Rd\tFR\n\ne2\tB\n   \ne1\tC\t\tUS\textra\n')
     rows = tsv.read_records(spark, str(tmp_path / "r.tsv"))
-    assert [tuple(r)[:4] for r in rows.orderBy("ordinal").collect()] == [("e1", 'A "q"', "1 Rd", "FR"), ("e2", "B", "", ""), ("   ", "", "", ""), ("e1", "C", "", "US")]
+    in_order = lambda x: [tuple(r)[:4] for r in x.orderBy("ordinal").collect()]
+    assert in_order(rows) == [("e1", 'A "q"', "1 Rd", "FR"), ("e2", "B", "", ""), ("   ", "", "", ""), ("e1", "C", "", "US")]
     assert tsv.last_of_each(rows).filter("entity_id = 'e1'").first()["country"] == "US"
+    (tmp_path / "many").mkdir()
+    for i in range(3):  # a folder of files, each with a header; larger than one split each
+        (tmp_path / "many" / f"p{i}.tsv").write_text("id\tn\ta\tc\n" + "".join(f"f{i}-{j}\tn\ta\tc\n" for j in range(400 - 100 * i)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert [r[0] for r in in_order(tsv.read_records(spark, str(tmp_path / "many")))] == [f"f{i}-{j}" for i in range(3) for j in range(400 - 100 * i)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     (tmp_path / "t.tsv").write_text("id\tm\na\tx,y,x\nb\t\nc\n")
     assert {r["s1_id"]: sorted(r["matched"]) for r in tsv.read_truth(spark, str(tmp_path / "t.tsv")).collect()} == {"a": ["x", "y"], "b": [], "c": []}
     matched = spark.createDataFrame([("b", 1, ""), ("a", 0, "x,y")], "s1_id string, ordinal long, matched string")
@@ -89,7 +195,7 @@ def test_empty_tables_match_nothing(spark):
     assert [tuple(r) for r in match(some, some.limit(0)).collect()] == [("S1-1", 0, "")]
 
 
-@pytest.mark.parametrize("name", ["normalize_name", "blocking_keys_all", "candidate_topk", "features_native", "matching_results", "evaluation_metrics"])
+@pytest.mark.parametrize("name", ["normalize_name", "blocking_keys_all", "candidate_topk", "features_all", "sim_token_ratios", "matching_results", "evaluation_metrics", "grid_global", "run_totals", "tsv_targets", "tsv_truth"])
 def test_queries_agree_with_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()

@@ -12,6 +12,9 @@ from ..functions.normalize import listed, tokens
 NAME_LIMIT, OTHER_LIMIT = 250, 100
 NAME_TYPES = "^(n|core|compact)"
 TOP_K = 20
+KEY = ["country", "ktype", "kval"]
+#: Keys that are sent to every task at most, and rows of a key that stay together.
+HEAVY = 10_000
 NONE = "array<struct<ktype:string,kval:string>>"
 
 
@@ -86,24 +89,38 @@ def key_limit(name_limit: int = NAME_LIMIT, other_limit: int = OTHER_LIMIT) -> C
 
 def key_frequency(target_keys: DataFrame) -> DataFrame:
     """(country, ktype, kval, postings): counted with partial sums, so a key in a third of all rows is no burden."""
-    return target_keys.groupBy("country", "ktype", "kval").agg(F.count("*").alias("postings"))
+    return target_keys.groupBy(*KEY).agg(F.count("*").alias("postings"))
+
+
+def heaviest(counts: DataFrame, column: str, most: int = HEAVY) -> DataFrame:
+    """The ``most`` keys with the largest counts. Every other key has at most one in ``most`` of all rows, however the data lie."""
+    return counts.orderBy(F.desc(column), *KEY).limit(most)
 
 
 def active_keys(target_keys: DataFrame, name_limit: int = NAME_LIMIT, other_limit: int = OTHER_LIMIT) -> DataFrame:
     """Target keys less those with more postings than their limit.
 
-    At most one key in ``other_limit`` rows is over-frequent, so the anti join's right
-    side is small; AQE broadcasts it when its measured size allows, else it is shuffled.
+    The heaviest keys, HEAVY at most, go by a broadcast, so that their rows meet in no
+    task; what is left is removed by an ordinary anti join.
     """
-    hot = key_frequency(target_keys).filter(F.col("postings") > key_limit(name_limit, other_limit)).drop("postings")
-    return target_keys.join(hot, ["country", "ktype", "kval"], "left_anti")
+    hot = key_frequency(target_keys).filter(F.col("postings") > key_limit(name_limit, other_limit))
+    rest = target_keys.join(F.broadcast(heaviest(hot, "postings").select(*KEY)), KEY, "left_anti")
+    return rest.join(hot.select(*KEY), KEY, "left_anti")
 
 
 def candidate_pairs(s1_keys: DataFrame, active: DataFrame) -> DataFrame:
-    """(country, s1_id, tid, shared_keys) for records and targets that share an active key."""
-    left = s1_keys.withColumnRenamed("entity_id", "s1_id")
-    right = active.withColumnRenamed("entity_id", "tid")
-    return left.join(right, ["country", "ktype", "kval"]).groupBy("country", "s1_id", "tid").agg(F.count("*").alias("shared_keys"))
+    """(country, s1_id, tid, shared_keys) for records and targets that share an active key.
+
+    An active key has few targets but may have any number of records. The rows of the
+    heaviest are dealt over parts of about HEAVY, and the targets repeated in each.
+    """
+    left, right = s1_keys.withColumnRenamed("entity_id", "s1_id"), active.withColumnRenamed("entity_id", "tid")
+    counts = left.groupBy(*KEY).agg(F.count("*").alias("n")).filter(F.col("n") > HEAVY)
+    parts = F.broadcast(heaviest(counts, "n").select(*KEY, F.ceil(F.col("n") / HEAVY).cast("int").alias("parts")))
+    n = F.coalesce("parts", F.lit(1))
+    left = left.join(parts, KEY, "left").withColumn("part", F.pmod(F.hash("s1_id"), n))
+    right = right.join(parts, KEY, "left").withColumn("part", F.explode(F.sequence(F.lit(0), n - 1)))
+    return left.drop("parts").join(right.drop("parts"), [*KEY, "part"]).groupBy("country", "s1_id", "tid").agg(F.count("*").alias("shared_keys"))
 
 
 def top_candidates(pairs: DataFrame, k: int = TOP_K) -> DataFrame:

@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Iterator
+from dataclasses import replace
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from . import boosting
 from .features import FEATURES
 
 #: Logistic weights of the fixed scorer; all of its features stay in the JVM.
 BIAS = -4.0
 WEIGHTS = {"name_lev_sim": 3.0, "name_char_3gram": 3.0, "name_token_overlap": 1.0, "addr_lev_sim": 1.5, "num_has_match": 1.5, "num_has_mismatch": -2.0, "exact_core_no_addr": 2.0}
 
-#: Parameters of the boosted presets. Level-wise trees stand in for both; leaf counts have no counterpart here.
+#: Parameters of the boosted presets. Rows are not sampled by the second, which samples them only where a frequency is set.
 PRESETS = {
-    "xgboost": {"maxIter": 500, "stepSize": 0.035, "maxDepth": 7, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85", "seed": 42},
-    "lightgbm": {"maxIter": 450, "stepSize": 0.035, "maxDepth": 7, "minInstancesPerNode": 30, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85", "seed": 42},
+    "xgboost": boosting.Settings(rounds=500, rate=0.035, depth=7, rows=0.85, columns=0.85, smooth=1.0, least_weight=1.0, seed=42),
+    "lightgbm": boosting.Settings(rounds=450, rate=0.035, depth=7, leaves=63, rows=1.0, columns=0.85, smooth=0.0, least_weight=1e-3, least_rows=30, from_average=True, seed=42),
 }
-ALIASES = {"xgboost_gpu": "xgboost", "xgb_gpu": "xgboost", "xgb": "xgboost", "lgbm": "lightgbm"}
+ALIASES = {"xgboost_gpu": "xgboost", "xgb_gpu": "xgboost", "xgb": "xgboost"}
+#: The documented bound of the rows that a model is fitted on.
+TRAIN_ROWS = 20_000
+
+
+def single(c: Column) -> Column:
+    """The value in single precision: a model's features and probabilities are, so 0.70 as a probability is below the threshold 0.70."""
+    return c.cast("float").cast("double")
 
 
 def linear(df: DataFrame) -> DataFrame:
-    """df with prob, the fixed scorer's, as a multiple of 1e-9."""
-    z = sum((w * F.col(x) for x, w in WEIGHTS.items()), F.lit(BIAS))
-    return df.withColumn("prob", F.round(1 / (1 + F.exp(-z)), 9))
+    """df with prob, the fixed scorer's, a multiple of 1e-9 in single precision, of features in single precision."""
+    z = sum((w * single(F.col(x)) for x, w in WEIGHTS.items()), F.lit(BIAS))
+    return df.withColumn("prob", single(F.round(1 / (1 + F.exp(-z)), 9)))
 
 
 def number_penalty(df: DataFrame) -> DataFrame:
@@ -36,34 +47,49 @@ def number_penalty(df: DataFrame) -> DataFrame:
 
 
 class Matcher:
-    """A boosted-tree matcher on the 36 features: fit, score, save, load."""
+    """A boosted-tree matcher on the 36 features: fit, score, save, load. params override those of the preset by name."""
 
     def __init__(self, model_type: str = "xgboost_gpu", **params) -> None:
         preset = PRESETS.get(ALIASES.get(model_type, model_type))
         if preset is None:
-            raise ValueError(f"unknown model type {model_type}")
-        self.params, self.model = preset | params, None
-
-    def fit(self, df: DataFrame, label: str = "label", weight: str | None = None) -> Matcher:
-        trees = GBTClassifier(featuresCol="vector", labelCol=label, cacheNodeIds=True, checkpointInterval=10, **self.params)
-        if weight:
-            trees.setWeightCol(weight)
-        self.model = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="vector"), trees]).fit(df)
+            raise ValueError(f"Unknown model type: {model_type}")
+        self.model_type, self.settings, self.forest = model_type, replace(preset, **params), None
+
+    def fit(self, df: DataFrame, label: str = "label", weight: str | None = None, rows: int = TRAIN_ROWS) -> Matcher:
+        """Fit on at most ``rows`` rows, those with the smallest hashes of their values."""
+        columns = [F.col(c).cast("float").alias(c) for c in FEATURES]
+        every = df.select(*columns, F.col(label).cast("double").alias("__y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("__w"), F.xxhash64(*FEATURES, label).alias("__spot"))
+        share = (1.2 * rows + 200) / max(1, df.count())
+        if share < 1:  # little more than the sample leaves the executors
+            every = every.filter(F.col("__spot") < int(-(2**63) + share * 2**64))
+        sample = every.orderBy("__spot", "__y", "__w").limit(rows).toPandas()
+        if sample.empty:
+            raise ValueError("no rows to fit on")
+        self.forest = boosting.fit(sample[FEATURES].to_numpy(np.float32), sample["__y"].to_numpy(), sample["__w"].to_numpy(), self.settings)
         return self
 
     def score(self, df: DataFrame) -> DataFrame:
-        out = self.model.transform(df).withColumn("prob", _positive())
-        return out.drop("vector", "rawPrediction", "probability", "prediction")
+        """df with prob."""
+        if self.forest is None:
+            raise ValueError("the model isn't fitted")
+        forest, kind = self.forest, StructType([*df.schema.fields, StructField("prob", DoubleType())])
 
-    def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float32) for c in FEATURES], 1)
+                prob = forest.probabilities(x).astype(np.float64) if len(x) else np.zeros(0)
+                yield pa.record_batch([*b.columns, pa.array(prob)], [*b.schema.names, "prob"])
 
-    @classmethod
-    def load(cls, path: str) -> Matcher:
-        out = cls()
-        out.model = PipelineModel.load(path)
-        return out
+        return df.mapInArrow(run, kind)
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the model as one line of JSON into a folder that Spark can reach."""
+        line = json.dumps({"model_type": self.model_type, "settings": vars(self.settings), "forest": self.forest.as_dict() if self.forest else None})
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
-def _positive() -> Column:
-    return vector_to_array("probability")[1]
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Matcher:
+        found = json.loads(spark.read.text(path).first()[0])
+        out = cls(found["model_type"], **found["settings"])
+        out.forest = boosting.Forest.of_dict(found["forest"]) if found["forest"] else None
+        return out

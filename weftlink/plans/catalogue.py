@@ -11,7 +11,7 @@ from ..functions import normalize as nm
 from ..functions.similarity import lev_sim, with_fuzzy
 from ..operators import assign, blocking, evaluate, features, scoring
 from ..sources import fixtures, tsv
-from . import pipeline
+from . import job, pipeline, stages
 from .oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,8 +224,11 @@ def country_stats(spark, d):
 
 @query
 def run_totals(spark, d):
-    s2 = F.col("tid").startswith("S2-")
-    return assign.assign_targets(_scores(spark, d), S2, S3).agg(F.count("*").alias("matches"), F.count_if(s2).alias("s2_matches"), F.count_if(~s2).alias("s3_matches"), F.count_distinct("s1_id").alias("matched_entities"))
+    s1, t = _sides(spark, d)
+    pairs = pipeline.pairs(s1, t)
+    scores = scoring.number_penalty(scoring.linear(features.features(pairs, False))).select("country", "s1_id", "tid", "s1_ordinal", "prob")
+    links = assign.assign_targets(scores, S2, S3)
+    return job.totals(s1, links, pairs)
 
 
 @query
@@ -238,18 +241,24 @@ def grid_source(spark, d):
     return evaluate.best_by_source(fixtures.sources(spark, d)[0], fixtures.truth(spark, d), _scores(spark, d))
 
 
+def _learn(c: str = "s1_id"):
+    """Records whose pairs a model may learn from: half of them."""
+    return F.crc32(F.col(c)) % 2 == 0
+
+
 def _boosted(spark, d, kind):
+    """All candidates scored by a model of the whole preset, fitted on pairs of the records of _learn."""
     s1, t = _sides(spark, d)
     truth = fixtures.truth(spark, d).withColumn("label", F.lit(1.0))
-    rows = pipeline.pair_features(s1, t, python=True).join(truth, ["s1_id", "tid"], "left").fillna(0.0, ["label"]).persist()
-    model = scoring.Matcher(kind, maxIter=5, maxDepth=4, stepSize=0.3).fit(rows)
+    rows = stages.kept(pipeline.pair_features(s1, t, python=True).join(truth, ["s1_id", "tid"], "left").fillna(0.0, ["label"]))
+    model = scoring.Matcher(kind).fit(rows.filter(_learn()))
     return scoring.number_penalty(model.score(rows))
 
 
 @query
 def gbt_scores(spark, d):
-    """Boosted scores of all candidates, few rounds."""
-    return _boosted(spark, d, "xgboost").select("s1_id", "tid", F.round("prob", 6).alias("prob"))
+    """Boosted scores of all candidates."""
+    return _boosted(spark, d, "xgboost").select("s1_id", "tid", F.round("prob", 6).alias("prob"), _learn().alias("learnt"))
 
 
 @query
@@ -259,4 +268,77 @@ def gbt_matches(spark, d):
 
 @query
 def lgbm_preset_scores(spark, d):
-    return _boosted(spark, d, "lightgbm").select("s1_id", "tid", F.round("prob", 6).alias("prob"))
+    return _boosted(spark, d, "lightgbm").select("s1_id", "tid", F.round("prob", 6).alias("prob"), _learn().alias("learnt"))
+
+
+@query
+def gbt_metrics(spark, d):
+    """Metrics on the records that the model didn't learn from, whose targets may go to any record."""
+    links = stages.kept(assign.assign_targets(_boosted(spark, d, "xgboost"), S2, S3)).filter(~_learn())
+    s1 = fixtures.sources(spark, d)[0].filter(~_learn("entity_id"))
+    return evaluate.metrics(evaluate.entity_counts(s1, fixtures.truth(spark, d).filter(~_learn()), links))
+
+
+def _files(spark, d, rows):
+    """The rows as a record file, written into the folder that the cluster shares and read back."""
+    path = stages.shared_path(spark, "records")
+    body = rows.select(F.concat_ws("\t", *tsv.FIELDS).alias("value"), F.lit(1).alias("part"), "ordinal")
+    head = spark.range(1).select(F.lit("\t".join(tsv.FIELDS)).alias("value"), F.lit(0).alias("part"), F.lit(None).cast("long").alias("ordinal"))
+    body.union(head).repartitionByRange("part", "ordinal").sortWithinPartitions("part", "ordinal").select("value").write.text(f"{path}.parts")
+    tsv.merge_parts(spark, f"{path}.parts", path)
+    return path
+
+
+@query
+def tsv_scan(spark, d):
+    """All records, by way of a file."""
+    path = _files(spark, d, _records(spark, d))
+    out = stages.kept(tsv.read_records(spark, path).select(*tsv.FIELDS))
+    stages.remove(spark, path)
+    return out
+
+
+@query
+def tsv_country(spark, d):
+    """The records of one country, by way of a file."""
+    path = _files(spark, d, _records(spark, d))
+    out = stages.kept(tsv.read_records(spark, path, "ASIA").select(*tsv.FIELDS))
+    stages.remove(spark, path)
+    return out
+
+
+@query
+def tsv_targets(spark, d):
+    """The last record of each target id, by way of two files of which the second repeats the ids with names in capitals, and one that isn't there."""
+    targets = fixtures.sources(spark, d)[1]
+    paths = [_files(spark, d, targets), stages.shared_path(spark, "absent"), _files(spark, d, targets.withColumn("business_name", F.upper("business_name")))]
+    out = stages.kept(tsv.last_of_each(tsv.read_targets(spark, paths), tsv.IN_COUNTRY).select(*tsv.FIELDS))
+    for path in paths:
+        stages.remove(spark, path)
+    return out
+
+
+@query
+def tsv_truth(spark, d):
+    """The true links as written and read: a line per record that has any."""
+    path = stages.shared_path(spark, "truth")
+    rows = fixtures.truth(spark, d).groupBy("s1_id").agg(F.collect_list("tid").alias("ids")).withColumn("ordinal", F.col("s1_id"))
+    tsv.write_lists(rows, path, "ids", "matched_entity_ids")
+    tsv.merge_parts(spark, path, f"{path}.tsv")
+    out = stages.kept(tsv.read_truth(spark, f"{path}.tsv").select("s1_id", F.array_join(F.array_sort("matched"), ",").alias("matched")))
+    stages.remove(spark, f"{path}.tsv")
+    return out
+
+
+@query
+def sorted_address(spark, d):
+    return _records(spark, d).select("entity_id", nm.token_sorted_address(nm.clean(F.col("business_address"))).alias("sorted_addr"))
+
+
+@query
+def near_copy_documents(spark, d):
+    """Documents by the first 40 characters of their cleaned text, as a blocking key: how many share it, and the first of them; over-frequent keys go."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.substring(nm.clean(F.col("text")), 1, 40).alias("kval")).filter("kval != ''")
+    keys = stages.kept(blocking.active_keys(docs.select(F.col("doc_id").alias("entity_id"), F.lit("").alias("country"), F.lit("n_head").alias("ktype"), "kval")))
+    shared = keys.groupBy("kval").agg(F.count("*").alias("postings"), F.min("entity_id").alias("first_doc"))
+    return keys.join(shared, "kval").select(F.col("entity_id").alias("doc_id"), "postings", "first_doc")

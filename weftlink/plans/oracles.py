@@ -209,9 +209,9 @@ def _named(ctes: str, prefix: str) -> str:
     return ctes
 
 
-_Z = " + ".join([str(BIAS), *(f"({w} * {n})" for n, w in WEIGHTS.items())])
+_Z = " + ".join([str(BIAS), *(f"({w} * CAST(CAST({n} AS FLOAT) AS DOUBLE))" for n, w in WEIGHTS.items())])
 SCORES = f"""
-lin AS (SELECT *, round(1 / (1 + exp(-({_Z}))), 9) AS prob FROM feat),
+lin AS (SELECT *, CAST(CAST(round(1 / (1 + exp(-({_Z}))), 9) AS FLOAT) AS DOUBLE) AS prob FROM feat),
 pen AS (SELECT * REPLACE (CASE WHEN primary_num1 IS NOT NULL AND primary_num2 IS NOT NULL AND primary_num1 <> primary_num2 AND name_exact_core < 1 THEN prob * 0.1 ELSE prob END AS prob) FROM lin),
 over AS (SELECT * FROM pen WHERE prob >= CASE WHEN tid LIKE 'S2-%' THEN 0.70 ELSE 0.75 END),
 links AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY country, tid ORDER BY prob DESC, s1_ordinal, s1_id) AS r FROM over) WHERE r = 1),
@@ -224,6 +224,14 @@ counts AS (SELECT s1_id, (SELECT count(*) FROM truth t WHERE t.s1_id = s.s1_id)
   (SELECT count(*) FROM links t JOIN truth u USING (s1_id, tid) WHERE t.s1_id = s.s1_id) AS tp FROM s1 s)"""
 
 
+METRICS = f"""CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(n_pred) AS BIGINT) AS pred_links, CAST(sum(n_true) AS BIGINT) AS true_links, round(avg({_F05}), 6) AS macro_f05,
+  round(coalesce(avg(CASE WHEN n_true > 0 THEN CASE WHEN tp > 0 THEN 2 * (tp / n_pred) * (tp / n_true) / (tp / n_pred + tp / n_true) ELSE 0.0 END END), 0.0), 6) AS macro_f1,
+  count(*) FILTER (n_true = 0) AS singletons, count(*) FILTER (n_true = 0 AND n_pred = 0) AS singletons_correct, count(*) FILTER (n_true > 0) AS non_singletons,
+  CAST(sum(n_pred) - sum(tp) AS BIGINT) AS fp, CAST(sum(n_true) - sum(tp) AS BIGINT) AS fn, round(CASE WHEN sum(n_pred) > 0 THEN sum(tp) / sum(n_pred) ELSE 1.0 END, 6) AS precision,
+  round(CASE WHEN sum(n_true) > 0 THEN sum(tp) / sum(n_true) ELSE 0.0 END, 6) AS recall,
+  round(CASE WHEN count(*) FILTER (n_true = 0) > 0 THEN count(*) FILTER (n_true = 0 AND n_pred = 0) / count(*) FILTER (n_true = 0) ELSE 1.0 END, 6) AS singleton_accuracy"""
+
+
 def _grid(points: str, extra: str) -> str:
     return f"""
 pts AS ({points}),
@@ -280,14 +288,25 @@ ORACLES: dict[str, str] = {
     "matching_results": _sql(5, "SELECT s1_id, matched FROM matched"),
     "singletons": _sql(5, "SELECT s1_id FROM matched WHERE n = 0"),
     "country_stats": _sql(5, "SELECT country, count(*) AS total_s1, count(*) FILTER (n = 0) AS singletons, CAST(sum(n) AS BIGINT) AS matched_links, round(100 * count(*) FILTER (n = 0) / count(*), 6) AS singleton_pct, round(sum(n) / count(*), 6) AS avg_matches FROM matched GROUP BY country"),
-    "run_totals": _sql(5, "SELECT count(*) AS matches, count(*) FILTER (tid LIKE 'S2-%') AS s2_matches, count(*) FILTER (tid NOT LIKE 'S2-%') AS s3_matches, count(DISTINCT s1_id) AS matched_entities FROM links"),
+    "run_totals": _sql(5, """SELECT (SELECT count(*) FROM s1) AS total_s1, (SELECT count(*) FROM matched WHERE n = 0) AS singletons, (SELECT count(*) FROM topk) AS candidate_pairs,
+  count(*) AS matches, count(*) FILTER (tid LIKE 'S2-%') AS s2_matches, count(*) FILTER (tid LIKE 'S3-%') AS s3_matches, count(DISTINCT s1_id) AS matched_entities FROM links"""),
+    "tsv_scan": _sql(0, "SELECT entity_id, business_name, business_address, country FROM biz"),
+    "tsv_country": _sql(0, "SELECT entity_id, business_name, business_address, country FROM biz WHERE country = 'ASIA'"),
+    "tsv_truth": _sql(0, "SELECT s1_id, string_agg(tid, ',' ORDER BY tid) AS matched FROM truth GROUP BY s1_id"),
+    "tsv_targets": _sql(0, "SELECT entity_id, upper(business_name) AS business_name, business_address, country FROM biz WHERE src > 1"),
+    "sorted_address": _sql(1, "SELECT entity_id, array_to_string(list_sort(aw), ' ') AS sorted_addr FROM n1"),
+    "near_copy_documents": f"""WITH heads AS (SELECT doc_id, substr({_clean("text")}, 1, 40) AS head FROM documents),
+shared AS (SELECT doc_id, count(*) OVER (PARTITION BY head) AS postings, min(doc_id) OVER (PARTITION BY head) AS first_doc FROM heads WHERE head <> '')
+SELECT doc_id, postings, first_doc FROM shared WHERE postings <= 250""",
     "entity_f05": _sql(6, f"SELECT s1_id, round({_F05}, 6) AS f05 FROM counts"),
-    "evaluation_metrics": _sql(6, f"""SELECT CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(n_pred) AS BIGINT) AS pred_links, CAST(sum(n_true) AS BIGINT) AS true_links, round(avg({_F05}), 6) AS macro_f05,
-  round(coalesce(avg(CASE WHEN n_true > 0 THEN CASE WHEN tp > 0 THEN 2 * (tp / n_pred) * (tp / n_true) / (tp / n_pred + tp / n_true) ELSE 0.0 END END), 0.0), 6) AS macro_f1,
-  count(*) FILTER (n_true = 0) AS singletons, count(*) FILTER (n_true = 0 AND n_pred = 0) AS singletons_correct, count(*) FILTER (n_true > 0) AS non_singletons,
-  CAST(sum(n_pred) - sum(tp) AS BIGINT) AS fp, CAST(sum(n_true) - sum(tp) AS BIGINT) AS fn, round(CASE WHEN sum(n_pred) > 0 THEN sum(tp) / sum(n_pred) ELSE 1.0 END, 6) AS precision,
-  round(CASE WHEN sum(n_true) > 0 THEN sum(tp) / sum(n_true) ELSE 0.0 END, 6) AS recall,
-  round(CASE WHEN count(*) FILTER (n_true = 0) > 0 THEN count(*) FILTER (n_true = 0 AND n_pred = 0) / count(*) FILTER (n_true = 0) ELSE 1.0 END, 6) AS singleton_accuracy FROM counts"""),
-    "grid_global": _sql(5, "SELECT s2 AS threshold, macro_f05 FROM best ORDER BY macro_f05 DESC, s2 LIMIT 1", _grid("SELECT 0.30::DOUBLE + i * ((0.90::DOUBLE - 0.30::DOUBLE) / 30) AS s2, s2 AS s3 FROM range(31) t(i)", "")),
+    "evaluation_metrics": _sql(6, f"SELECT {METRICS} FROM counts"),
+    "grid_global": _sql(
+        5, f"SELECT t AS threshold, {METRICS} FROM gcounts, top1 GROUP BY t",
+        _grid("SELECT 0.30::DOUBLE + i * ((0.90::DOUBLE - 0.30::DOUBLE) / 30) AS s2, s2 AS s3 FROM range(31) t(i)", ""),
+        """top1 AS (SELECT s2 AS t FROM best ORDER BY macro_f05 DESC, s2 LIMIT 1),
+glinks AS (SELECT s1_id, tid FROM pen, top1 WHERE prob >= t),
+gcounts AS (SELECT s1_id, (SELECT count(*) FROM truth t WHERE t.s1_id = s.s1_id) AS n_true, (SELECT count(*) FROM glinks t WHERE t.s1_id = s.s1_id) AS n_pred,
+  (SELECT count(*) FROM glinks t JOIN truth u USING (s1_id, tid) WHERE t.s1_id = s.s1_id) AS tp FROM s1 s)""",
+    ),
     "grid_source": _sql(5, "SELECT s2, s3, macro_f05 FROM best ORDER BY macro_f05 DESC, s2, s3 LIMIT 1", _grid("SELECT 0.40::DOUBLE + i * ((0.85::DOUBLE - 0.40::DOUBLE) / 9) AS s2, 0.40::DOUBLE + j * ((0.85::DOUBLE - 0.40::DOUBLE) / 9) AS s3 FROM range(10) t(i), range(10) u(j)", "WHERE x.tid LIKE 'S2-%' OR x.tid LIKE 'S3-%'")),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.normalize import normalize
 from ..operators import assign, blocking, features, scoring
+from ..sources.tsv import IN_COUNTRY, last_of_each
 from .stages import kept
 
 
@@ -37,7 +38,7 @@ def scored(s1: DataFrame, targets: DataFrame, scorer: Callable[[DataFrame], Data
     return out.select("country", "s1_id", "tid", "s1_ordinal", "prob")
 
 
-def match(s1_records: DataFrame, target_records: DataFrame, s2: float = 0.70, s3: float = 0.75) -> DataFrame:
-    """(s1_id, ordinal, matched) for every reference record."""
-    s1, targets = normalized(s1_records, target_records)
-    return assign.match_lists(s1, assign.assign_targets(scored(s1, targets), s2, s3))
+def match(s1_records: DataFrame, target_records: DataFrame, s2: float = 0.70, s3: float = 0.75, scorer: Callable[[DataFrame], DataFrame] = scoring.linear, python: bool = False) -> DataFrame:
+    """(s1_id, ordinal, matched) for every reference record. Of targets that repeat an id in a country the last one counts."""
+    s1, targets = normalized(s1_records, last_of_each(target_records, IN_COUNTRY))
+    return assign.match_lists(s1, assign.assign_targets(scored(s1, targets, scorer, python), s2, s3))
