@@ -34,7 +34,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = SparkSession.builder.appName("weftlink").config("spark.sql.execution.arrow.maxRecordsPerBatch", args.batch_size).getOrCreate()
+    spark = (
+        SparkSession.builder.appName("weftlink").config("spark.sql.execution.arrow.maxRecordsPerBatch", args.batch_size)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
+    )
     paths = job.Paths(args.test_dir, args.model_path, args.meta_path, args.output_dir)
     sections = job.run(spark, paths, args.top_k, args.merge)
     for k, v in sections["Test Inference Results"].items():

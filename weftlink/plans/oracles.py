@@ -232,6 +232,10 @@ METRICS = f"""CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(n_pred) AS BIGINT) AS pred
   round(CASE WHEN count(*) FILTER (n_true = 0) > 0 THEN count(*) FILTER (n_true = 0 AND n_pred = 0) / count(*) FILTER (n_true = 0) ELSE 1.0 END, 6) AS singleton_accuracy"""
 
 
+GCOUNTS = """gcounts AS (SELECT s1_id, (SELECT count(*) FROM truth t WHERE t.s1_id = s.s1_id) AS n_true, (SELECT count(*) FROM glinks t WHERE t.s1_id = s.s1_id) AS n_pred,
+  (SELECT count(*) FROM glinks t JOIN truth u USING (s1_id, tid) WHERE t.s1_id = s.s1_id) AS tp FROM s1 s)"""
+
+
 def _grid(points: str, extra: str) -> str:
     return f"""
 pts AS ({points}),
@@ -305,8 +309,15 @@ SELECT doc_id, postings, first_doc FROM shared WHERE postings <= 250""",
         _grid("SELECT 0.30::DOUBLE + i * ((0.90::DOUBLE - 0.30::DOUBLE) / 30) AS s2, s2 AS s3 FROM range(31) t(i)", ""),
         """top1 AS (SELECT s2 AS t FROM best ORDER BY macro_f05 DESC, s2 LIMIT 1),
 glinks AS (SELECT s1_id, tid FROM pen, top1 WHERE prob >= t),
-gcounts AS (SELECT s1_id, (SELECT count(*) FROM truth t WHERE t.s1_id = s.s1_id) AS n_true, (SELECT count(*) FROM glinks t WHERE t.s1_id = s.s1_id) AS n_pred,
-  (SELECT count(*) FROM glinks t JOIN truth u USING (s1_id, tid) WHERE t.s1_id = s.s1_id) AS tp FROM s1 s)""",
+"""
+        + GCOUNTS,
+    ),
+    "grid_source": _sql(
+        5, f"SELECT a AS s2, b AS s3, {METRICS} FROM gcounts, top1 GROUP BY a, b",
+        _grid("SELECT 0.40::DOUBLE + i * ((0.85::DOUBLE - 0.40::DOUBLE) / 9) AS s2, 0.40::DOUBLE + j * ((0.85::DOUBLE - 0.40::DOUBLE) / 9) AS s3 FROM range(10) t(i), range(10) u(j)", "WHERE x.tid LIKE 'S2-%' OR x.tid LIKE 'S3-%'"),
+        """top1 AS (SELECT s2 AS a, s3 AS b FROM best ORDER BY macro_f05 DESC, s2, s3 LIMIT 1),
+glinks AS (SELECT s1_id, tid FROM pen, top1 WHERE (tid LIKE 'S2-%' AND prob >= a) OR (tid LIKE 'S3-%' AND prob >= b)),
+"""
+        + GCOUNTS,
     ),
-    "grid_source": _sql(5, "SELECT s2, s3, macro_f05 FROM best ORDER BY macro_f05 DESC, s2, s3 LIMIT 1", _grid("SELECT 0.40::DOUBLE + i * ((0.85::DOUBLE - 0.40::DOUBLE) / 9) AS s2, 0.40::DOUBLE + j * ((0.85::DOUBLE - 0.40::DOUBLE) / 9) AS s3 FROM range(10) t(i), range(10) u(j)", "WHERE x.tid LIKE 'S2-%' OR x.tid LIKE 'S3-%'")),
 }
