@@ -117,7 +117,7 @@ def test_added_spans_by_brute_force():
 @pytest.mark.parametrize(
     ("s", "found"),
     [
-        ("aB3dE5gH7jK9mN1pQ3sT5", True), ("zXcVbNmQwErTyUiOpAsDf", True), ("Donaudampfschifffahrtsgesellschaft", False), ("getElementsByClassNameAndId", False),
+        ("aB3dE5gH7jK9mN1pQ3sT5", True), ("zXcVbNmQwErTyUiOpAsDf", True), ("Donaudampfschifffahrtsgesellschaft", False), ("getElementsWithClassNamesAndTypes", False),
         ("2024-01-02-2025-03-04-5", False), ("123e4567-e89b-12d3-a456-426614174000", False), ("some/long/path/to/a/file", False), ("aaaaaaaaaaaaaaaaaaaaaaaaaaa1", False), ("abcdefghijklmnopqrstuvw", False),
     ],
 )
