@@ -110,11 +110,11 @@ def cutoffs(rows: DataFrame, risk: float = RISK, left: float = CONFIDENCE_LEFT)
         F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(f"{rule}_{i}").alias("rejected"))
         for rule, (_, _, cuts) in RULES.items() for i, c in enumerate(cuts, 1)
     ])
-    strata = counts.agg(F.count("*").alias("strata"))
-    # a row of one number beside a row per stratum: the count is attached by an equal constant
-    each = counts.select("stratum", "n_good", F.inline(cells)).withColumn("one", F.lit(1)).join(strata.withColumn("one", F.lit(1)), "one").drop("one")
+    counts = cut(counts)  # a row per stratum
+    strata = counts.count()
+    each = counts.select("stratum", "n_good", F.inline(cells))
     each = each.withColumn("tail", binomial_tail(F.col("rejected"), F.col("n_good"), risk))
-    return each.withColumn("certified", F.col("tail") <= F.lit(left) / (F.col("strata") * len(RULES))).drop("strata")
+    return each.withColumn("certified", F.col("tail") <= left / (max(1, strata) * len(RULES)))
 
 
 def certify(rows: DataFrame, risk: float = RISK, left: float = CONFIDENCE_LEFT) -> list[Row]:
