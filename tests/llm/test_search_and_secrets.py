@@ -157,3 +157,30 @@ def test_base_spans_stay_and_odd_rows(spark):
     assert secrets.scan(docs.limit(0)).count() == secrets.remove_secrets(docs.limit(0)).count() == 0
     wordy = secrets.remove_secrets(docs.withColumn("n_chars", F.lit("many")))
     assert {r["n_chars"] for r in wordy.collect()} == {"many"}
+
+
+def test_spans_agree_with_sql():
+    """The SQL finds places by what stands between matches, and entropies window by window."""
+    duckdb = pytest.importorskip("duckdb")
+    import hashlib
+
+    import pyarrow as pa
+
+    from weftlink.llm.queries import oracle_sql
+
+    rnd = random.Random(3)
+    parts = ["password", " = ", ":", '"', "secret", "TOKEN", "apikey", "abcdef", "x" * 5, "0123456789abcdef" * 2, "AKIA", "ABCDEFGHIJKLMNOP", "é", "\n", " ", "aB3dE5gH7jK9mN1pQ3sT5uV7", "zXcVbNmQwErTyUiOpAsDf", "some/long/path/to/a/file/here", "f00-" * 9]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(200)] + [None]
+    documents = pa.table({"doc_id": list(range(len(texts))), "text": texts})  # noqa: F841
+    con = duckdb.connect()
+    con.register("documents", documents)
+    cur = con.execute(oracle_sql()["op10_secret_scan"])
+    names = [x[0] for x in cur.description]
+    got = {r["doc_id"]: r for r in (dict(zip(names, x, strict=True)) for x in cur.fetchall())}
+    added = 0
+    for i, t in enumerate(texts):
+        spans = secrets.find_spans(t or "")
+        added += sum(s[2] == "entropy" for s in spans)
+        assert got[i]["spans"] == secrets._joined(spans)
+        assert got[i]["base_sha256"] == hashlib.sha256(secrets._joined([s for s in spans if s[2] != "entropy"]).encode()).hexdigest()
+    assert added > 20

@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat_format import Template
 from .exact_topk import SCALE
 from .quality_rules import BASE_REPEAT, BASE_WORDS, CONFIDENCE_LEFT, RISK, RULES, SPAN
+from .secrets import ALLOW, ASSIGN_LEAST, CLASSES, KINDS
 from .source_mix import BLOCK, MOST, PRIME, ROUNDS, SHARE, WEIGHTS, _round_numbers
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -104,7 +105,7 @@ p0 AS (SELECT sidx, blocks, q % blocks AS x, sidx * 7919 + (q // blocks) * 10472
 {steps},
 taken AS (SELECT sidx, x AS block, count(*) AS times FROM {last} GROUP BY sidx, x),
 stream AS (SELECT rows.*, row_number() OVER () AS r, sidx, CAST(coalesce(sum(rows.size) OVER (PARTITION BY sidx
-  ORDER BY CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT), doc_id NULLS FIRST, rkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS spot
+  ORDER BY rkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS spot
   FROM rows JOIN sources ON rows.source IS NOT DISTINCT FROM sources.source),
 parts AS (SELECT r, sidx, spot, size, unnest(range(spot // {BLOCK}, (spot + size - 1) // {BLOCK} + 1)) AS block FROM stream WHERE size > 0),
 got AS (SELECT r, sum(times * (least((block + 1) * {BLOCK}, spot + size) - greatest(block * {BLOCK}, spot))) AS taken FROM parts JOIN taken USING (sidx, block) GROUP BY r)
@@ -112,10 +113,42 @@ SELECT doc_id, stream.size, sources.size AS source_size, target, CAST(coalesce(g
 FROM stream JOIN sources USING (sidx) LEFT JOIN got USING (r)"""
 
 
+def _secrets() -> str:
+    assign = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    base = {"assign": assign, "access": "AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24,}"}
+    text = lambda x: "'" + x.replace("'", "''") + "'"
+    # what stands between the matches gives their places
+    found = lambda o, kind, p, second: (
+        f"SELECT r, {o} AS o, '{kind}' AS kind, regexp_extract_all(text, {text(p)}) AS m, {second} AS value, string_split_regex(text, {text(p)}) AS rest FROM texts"
+    )
+    matches = "\n  UNION ALL ".join(found(i, k, p, f"regexp_extract_all(text, {text(p)}, 2)" if k == "assign" else "NULL") for i, (k, p) in enumerate(base.items()))
+    place = "CAST(list_sum(list_transform(rest[1 : i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0) AS BIGINT)"
+    allowed = " OR ".join(f"regexp_full_match(s, {text(a.pattern)})" for a in ALLOW)
+    limits = " ".join(f"WHEN regexp_full_match(s, {text(c.pattern)}) THEN {{'width': {w}, 'bits': {b}}}" for _, c, w, b in CLASSES)
+    entropy = "-list_sum(list_transform(map_values(list_aggregate(string_split(substr(s, w, c.width), ''), 'histogram')), lambda n: n / c.width * log2(n / c.width)))"
+    listed = "coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, o, b){}, '')"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({matches}),
+placed AS (SELECT r, o, kind, {place} AS a, m[i] AS s, value[i] AS v FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM matches)),
+base AS (SELECT r, o, kind, a, a + length(s) AS b FROM placed WHERE kind <> 'assign' OR length(v) >= {ASSIGN_LEAST}),
+runs AS ({found(3, "entropy", "[A-Za-z0-9+/_=-]{20,}", "NULL")}),
+candidates AS (SELECT r, o, kind, {place} AS a, m[i] AS s FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM runs)),
+free AS (SELECT *, a + length(s) AS b, CASE {limits} END AS c FROM candidates x
+  WHERE NOT ({allowed}) AND NOT EXISTS (SELECT 1 FROM base y WHERE y.r = x.r AND y.a < x.a + length(x.s) AND y.b > x.a)),
+windows AS (SELECT *, unnest(range(1, length(s) - c.width + 2)) AS w FROM free),
+high AS (SELECT DISTINCT r, o, kind, a, b FROM windows WHERE {entropy} >= c.bits - 1e-12),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM high),
+joined AS (SELECT r, {counts}, {listed.format(" FILTER (kind <> 'entropy')")} AS based, {listed.format("")} AS spans FROM spans GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(based, '')) AS base_sha256, coalesce(spans, '') AS spans FROM texts LEFT JOIN joined USING (r)"""
+
+
 ORACLES: dict[str, str] = {
     "op3_warc_segments": ARCHIVE,
     "op5_chat_format": _chat(),
     "op6_quality_rules": _quality(),
     "op8_source_mix": _mix(),
     "op9_exact_topk": TOP,
+    "op10_secret_scan": _secrets(),
 }

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import common
 from .common import SPACE, WORD, beside, cut, packed, setting, unpacked, word_count
 
 BLOCK = 32
@@ -32,6 +33,8 @@ ROUNDS = 8
 PRIME = 998244353
 #: Rows of a source that are numbered together, about.
 BUCKET = 2048
+#: Ranges into which many sources are dealt to be numbered, at most.
+RANGES = 1024
 
 
 def _round_numbers(r: int, lane: int) -> tuple[int, int, int, int]:
@@ -58,26 +61,45 @@ def permuted(df: DataFrame, x: str, n: str, key: Column, lane: int) -> DataFrame
     return df.drop("__key", "__other", "__top", "__t")
 
 
+def running(df: DataFrame, order: list[Column], sums: dict[str, Column], count: int) -> DataFrame:
+    """df (count rows) with a column for each of sums: its total over the rows that come before in the order, which must be strict.
+
+    A few rows are one task's. More are dealt by ranges of the order, whose totals, one
+    row a range, are added up first.
+    """
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    if count <= common.FEW:
+        before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({k: zero(F.sum(c).over(before)) for k, c in sums.items()})
+    dealt = df.withColumns({f"__own_{k}": c for k, c in sums.items()}).repartitionByRange(min(RANGES, 1 + count // max(1, common.FEW)), *order)
+    dealt = cut(dealt.withColumn("__range", F.spark_partition_id()))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("__range").agg(*[F.sum(f"__own_{k}").alias(k) for k in sums])
+    totals = totals.select("__range", *[zero(F.sum(k).over(before)).alias(f"__all_{k}") for k in sums])
+    inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = dealt.withColumns({k: zero(F.sum(f"__own_{k}").over(inside)) for k in sums}).join(F.broadcast(totals), "__range")
+    return out.withColumns({k: F.col(k) + F.col(f"__all_{k}") for k in sums}).drop("__range", *[f"__{x}_{k}" for k in sums for x in ("own", "all")])
+
+
 def targets(sources: DataFrame) -> DataFrame:
     """sources (source, size) with weight, target and sidx, the place by code point, null last.
 
     The share of all sizes is dealt by weight, no source getting over MOST times its
     size; what is over goes to the others by weight, until none is above.
     """
-    place = Window.orderBy(F.col("source").asc_nulls_last())
-    out = sources.withColumn("sidx", (F.row_number().over(place) - 1).cast("long"))
+    n = sources.count()
+    out = running(sources, [F.col("source").asc_nulls_last()], {"sidx": F.lit(1)}, n).withColumn("sidx", F.col("sidx").cast("long"))
     out = out.withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("sidx") % len(WEIGHTS) + 1).cast("int")).cast("long"))
-    out = out.withColumn("most", MOST * F.col("size"))
+    out = cut(out.withColumn("most", MOST * F.col("size")))
+    total, weights = out.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
     # sources meet their bound in order of size / weight; level is the share of one weight among those from here on
-    order = Window.orderBy((F.col("most") / F.col("weight")).asc(), "sidx")
-    earlier, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    out = out.withColumn("total", F.sum("size").over(Window.orderBy("sidx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) * SHARE)
-    out = out.withColumn("level", (F.col("total") - F.coalesce(F.sum("most").over(earlier), F.lit(0))) / F.sum("weight").over(later))
-    out = out.withColumn("open", F.col("level") * F.col("weight") <= F.col("most"))
-    every = Window.orderBy("sidx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.min(F.when(F.col("open"), F.struct((F.col("most") / F.col("weight")).alias("ratio"), "sidx", "level"))).over(every)
-    out = out.withColumn("share", first["level"])
-    return out.withColumn("target", F.when(F.col("share").isNull(), F.col("most").cast("double")).otherwise(F.least(F.col("share") * F.col("weight"), F.col("most").cast("double")))).select("source", "size", "sidx", "weight", "target")
+    ratio = F.col("most") / F.col("weight")
+    out = running(out, [ratio.asc(), F.col("sidx").asc()], {"given": F.col("most"), "gone": F.col("weight")}, n)
+    out = cut(out.withColumn("level", (F.lit(total) * SHARE - F.col("given")) / (F.lit(weights) - F.col("gone"))))
+    first = out.filter(F.col("level") * F.col("weight") <= F.col("most")).agg(F.min(F.struct(ratio.alias("ratio"), "sidx", "level"))["level"]).first()[0]
+    most = F.col("most").cast("double")
+    target = most if first is None else F.least(F.lit(first) * F.col("weight"), most)
+    return out.withColumn("target", target).select("source", "size", "sidx", "weight", "target")
 
 
 def source_key(c: Column | str = "source") -> Column:
@@ -95,31 +117,31 @@ def stream(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their place in their source's stream of words, and the sources with their targets and numbers of blocks and slots.
 
     Rows: rkey, nth (copies of a row count from 1), doc_id, source, size, sidx, at. A
-    source's order is by the md5 of the id's text, then id, then row digest.
+    source's order is by the row's digest. Copies are one row until they are placed,
+    so neither a repeated row nor a repeated id is one task's.
     """
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), text_key(docs).alias("rkey"))
     rows = cut(rows.groupBy("rkey").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("source").alias("source"), F.any_value("size").alias("size"), F.count("*").alias("copies")))
-    sums = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).cast("long").alias("size"))
+    sums = cut(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).cast("long").alias("size")))
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     slots = F.least(MOST * blocks, F.when(F.col("size") > 0, F.round(F.col("target") / F.col("size") * blocks)).otherwise(F.lit(0))).cast("long")
-    sources = targets(sums).withColumn("blocks", blocks).withColumn("slots", slots)
-    before = Window.orderBy("sidx").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy("sidx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sources = sources.withColumn("urn", F.coalesce(F.sum("slots").over(before), F.lit(0)).cast("long")).withColumn("all_slots", F.coalesce(F.sum("slots").over(whole), F.lit(0)).cast("long"))
-    sources = cut(sources.withColumnRenamed("size", "source_size"))
-    n = rows.agg(F.sum("copies")).first()[0] or 0
-    bits = max(0, (n // BUCKET).bit_length())
-    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).withColumn("skey", source_key())
-    rows = beside(rows, sources.select(source_key().alias("skey"), "sidx"), sources.count(), "skey", F.col("rkey")).drop("skey", "copies")
-    spot = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("spot", spot).withColumn("bucket", F.shiftright("spot", 32 - bits) if bits else F.lit(0).cast("long"))
-    ahead = rows.groupBy("sidx", "bucket").agg(F.sum("size").alias("words")).withColumn(
-        "ahead", F.coalesce(F.sum("words").over(Window.partitionBy("sidx").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).drop("words")
-    inside = Window.partitionBy("sidx", "bucket").orderBy("spot", "doc_id", "rkey", "nth").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(ahead, ["sidx", "bucket"]).withColumn("at", (F.col("ahead") + F.col("inside")).cast("long"))
-    return cut(rows.select("rkey", "nth", "doc_id", "source", "size", "sidx", "at")), sources
+    sources = cut(targets(sums).withColumn("blocks", blocks).withColumn("slots", slots))
+    n_sources, all_slots = sources.agg(F.count("*"), F.coalesce(F.sum("slots"), F.lit(0))).first()
+    sources = running(sources, [F.col("sidx").asc()], {"urn": F.col("slots")}, n_sources).withColumn("all_slots", F.lit(all_slots).cast("long"))
+    sources = cut(sources.withColumn("urn", F.col("urn").cast("long")).withColumnRenamed("size", "source_size"))
+    bits = max(0, (rows.count() // BUCKET).bit_length())
+    rows = rows.withColumns({"skey": source_key(), "words": F.col("size") * F.col("copies")})
+    rows = beside(rows, sources.select(source_key().alias("skey"), "sidx"), n_sources, "skey", F.col("rkey")).drop("skey")
+    spot = F.conv(F.substring("rkey", 1, 8), 16, 10).cast("long")
+    rows = rows.withColumn("bucket", F.shiftright(spot, 32 - bits) if bits else F.lit(0).cast("long"))
+    ahead = rows.groupBy("sidx", "bucket").agg(F.sum("words").alias("n")).withColumn(
+        "ahead", F.coalesce(F.sum("n").over(Window.partitionBy("sidx").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).drop("n")
+    inside = Window.partitionBy("sidx", "bucket").orderBy("rkey").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("inside", F.coalesce(F.sum("words").over(inside), F.lit(0))).join(ahead, ["sidx", "bucket"])
+    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    at = F.col("ahead") + F.col("inside") + (F.col("nth") - 1) * F.col("size")
+    return cut(rows.select("rkey", "nth", "doc_id", "source", "size", "sidx", at.cast("long").alias("at"))), sources
 
 
 def _spread(df: DataFrame, count: str, out: str, total: int) -> DataFrame:
