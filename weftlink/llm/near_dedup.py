@@ -15,6 +15,7 @@ connected components of the links. Exact copies are one node.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ DEPTH = 3
 #: Buckets of at most so many distinct texts are compared pair by pair; larger ones by leader, then in blocks.
 PAIRWISE = 12
 #: Texts in a block of the exact pass over large buckets.
-BLOCK = 512
+BLOCK = 256
 #: Parts into which the rows of one bucket, text or class are dealt, and the bucket size from which a pair counts as one of many of its leader.
 SALTS = 32
 MANY = 1024
@@ -126,13 +127,14 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, offsets = text_bytes(b.column("text"))
         for low, high in row_chunks(offsets, CHUNK):
             part = raw[offsets[low] : offsets[high]]
-            kept, m = sketch(*shingles(part, offsets[low : high + 1] - offsets[low]))
+            k, ends = shingles(part, offsets[low : high + 1] - offsets[low])
+            kept, m = sketch(k, ends)
             has = np.zeros(high - low, bool)
             has[kept] = True
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(has * ENTRIES)]).astype(np.int32)), pa.array(m.view(np.int64).ravel())
             )
-            yield pa.record_batch([b.column("doc_id").slice(low, high - low), b.column("tkey").slice(low, high - low), lists], ["doc_id", "tkey", "entries"])
+            yield pa.record_batch([b.column("doc_id").slice(low, high - low), b.column("tkey").slice(low, high - low), pa.array(np.diff(ends)), lists], ["doc_id", "tkey", "n", "entries"])
 
 
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -174,10 +176,10 @@ class _Kept(OrderedDict):
 
     held = 0
 
-    def of(self, key: bytes, text: str) -> np.ndarray:
+    def of(self, key: bytes, text: pa.Scalar) -> np.ndarray:
         got = self.get(key)
         if got is None:
-            got = self[key] = _sequence(text)
+            got = self[key] = _sequence(text.as_py())
             self.held += len(got)
             while self.held > 2_000_000 and len(self) > 1:
                 self.held -= len(self.popitem(last=False)[1])
@@ -191,9 +193,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b, ta, tb = (batch.column(i) for i in range(4))
         hit = np.zeros(len(a), bool)
-        for i in range(len(a)):
-            x = _sequence(ta[i].as_py())
-            hit[i] = aligned(x, kept.of(b[i].as_py(), tb[i].as_py())) > 0
+        for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
+            hit[i] = aligned(kept.of(x, ta[i]), kept.of(y, tb[i])) > 0
         at = pa.array(np.flatnonzero(hit))
         yield pa.record_batch([a.take(at), b.take(at)], ["a", "b"])
 
@@ -292,8 +293,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     what is joined to them is joined by key and salt, a part of the key's rows.
     """
     keyed = _keyed(docs)
-    rows = cut(keyed.mapInArrow(_sketches, "doc_id long, tkey binary, entries array<long>"))
-    texts = cut(rows.filter("tkey is not null").groupBy("tkey").agg(F.min("doc_id").alias("id"), F.any_value("entries").alias("entries")))
+    rows = cut(keyed.mapInArrow(_sketches, "doc_id long, tkey binary, n long, entries array<long>"))
+    texts = cut(rows.filter("tkey is not null").groupBy("tkey").agg(F.min("doc_id").alias("id"), F.any_value("n").alias("n"), F.any_value("entries").alias("entries")))
     entry = texts.filter("size(entries) > 0").select("tkey", F.explode("entries").alias("h"), _salt("tkey").alias("salt"))
     bucket = Window.partitionBy("h")  # over at most SALTS rows
     sizes = entry.groupBy("h", "salt").agg(F.count("*").alias("n")).withColumn("n", F.sum("n").over(bucket)).filter("n > 1")
@@ -318,6 +319,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         keyed.select("tkey", "text", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("one"))
         .join(chosen, ["tkey", "one"], "left_semi").dropDuplicates(["tkey"]).select("tkey", "text")
     )
+    # texts rather than their shingles, whose hashes don't compress
     body = cut(body)
     side = lambda k, s, t: pairs.select(k, s).distinct().join(body.select(F.col("tkey").alias(k), F.col("text").alias(t)), k)
     tested = pairs.join(side("a", "sa", "ta"), ["a", "sa"]).join(side("b", "sb", "tb"), ["b", "sb"]).select("a", "b", "ta", "tb")
@@ -330,18 +332,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     part = part.select("h", "salt", F.min("lo").over(bucket).alias("lo"), F.max("hi").over(bucket).alias("hi")).filter("lo != hi").select("h", "salt")
     most = big.groupBy("h", "label").agg(F.count("*").alias("n")).groupBy("h").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
     strays = cut(big.join(part.join(most, "h"), ["h", "salt"]).filter("label != main").select("main", "tkey", "label").distinct())
-    k = strays.groupBy("main").agg(F.count("*").alias("strays"))
+    main = strays.select("main").distinct()
     members = labels.select(F.col("node").alias("tkey"), "label", _salt("node").alias("salt"))
-    around = members.join(_salted(k.select(F.col("main").alias("label"))), ["label", "salt"]).select(F.col("label").alias("main"), "tkey", "label")
-    around = cut(around.union(strays).union(k.select("main", "main", "main")).distinct())
-    size = _salted(around.groupBy("main").agg(F.count("*").alias("members")).join(k, "main").select(
-        "main", F.ceil(F.col("members") / BLOCK).alias("mb"), F.ceil(F.col("strays") / BLOCK).alias("sb")
+    around = members.join(_salted(main.select(F.col("main").alias("label"))), ["label", "salt"]).select(F.col("label").alias("main"), "tkey", "label")
+    around = around.union(strays).union(main.select("main", "main", "main")).distinct()
+    # texts are near only if their lengths are of one class or of neighbouring ones: a member meets the strays of those
+    lengths = texts.filter("n > 0").select("tkey", F.floor(F.log("n") / math.log(1 / SIMILARITY)).cast("int").alias("scale"))
+    strays = cut(strays.join(lengths, "tkey"))
+    k = strays.groupBy("main", "scale").agg(F.count("*").alias("strays"))
+    around = around.join(lengths, "tkey").withColumn("scale", F.explode(F.array(*[F.col("scale") + i for i in (-1, 0, 1)])))
+    around = cut(around.withColumn("salt", _salt("tkey")).join(_salted(k.select("main", "scale")), ["main", "scale", "salt"]))
+    size = _salted(around.groupBy("main", "scale").agg(F.count("*").alias("members")).join(k, ["main", "scale"]).select(
+        "main", "scale", F.ceil(F.col("members") / BLOCK).alias("mb"), F.ceil(F.col("strays") / BLOCK).alias("sb")
     ))
-    sized = lambda df: df.withColumn("salt", _salt("tkey")).join(size, ["main", "salt"])
-    spot = F.xxhash64("tkey")
-    m = sized(around).select("main", "tkey", "label", F.lit("m").alias("role"), F.pmod(spot, "mb").alias("mi"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("sb") - 1)).alias("si"))
-    s = sized(strays).select("main", "tkey", "label", F.lit("s").alias("role"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("mi"), F.pmod(spot, "sb").alias("si"))
-    late = cut(m.unionByName(s).join(body, "tkey").groupBy("main", "mi", "si").applyInArrow(_block_links, "a binary, b binary"))
+    sized = lambda df: df.withColumn("salt", _salt("tkey")).join(size, ["main", "scale", "salt"])
+    spot, own = F.xxhash64("tkey"), ("main", "scale", "tkey", "label")
+    m = sized(around).select(*own, F.lit("m").alias("role"), F.pmod(spot, "mb").alias("mi"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("sb") - 1)).alias("si"))
+    s = sized(strays).select(*own, F.lit("s").alias("role"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("mi"), F.pmod(spot, "sb").alias("si"))
+    late = cut(m.unionByName(s).join(body, "tkey").groupBy("main", "scale", "mi", "si").applyInArrow(_block_links, "a binary, b binary"))
     if late.limit(1).count():
         # classes that a late link joins: components of the classes, few beside the texts
         ends = late.select(F.col("a").alias("node")).union(late.select("b")).distinct()
