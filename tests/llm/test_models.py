@@ -88,7 +88,7 @@ def words():
 
 def test_words_in_chunks_are_the_words(words, monkeypatch):
     raw, offsets, whole = words
-    monkeypatch.setattr(toxicity, "CHUNK", 30)
+    monkeypatch.setattr(toxicity, "LEARN_CHUNK", 30)
     parts = toxicity.read_all(raw, offsets)
     assert (parts.key[parts.word] == whole.key[whole.word]).all() and (parts.row == whole.row).all() and (parts.slots == whole.slots).all()
     for (a, x), (b, y) in zip(parts.grams, whole.grams, strict=True):

@@ -35,12 +35,14 @@ GRAM_SLOTS = 1 << 17
 #: A word of one letter and its edge marks is one 3-gram, so every word has some.
 GRAMS = (3, 5, 7)
 #: The documented bound of the training sample: rows of each label. Their texts are whole.
-TRAIN_ROWS = 1500
+TRAIN_ROWS = 1000
 #: Log odds from which a window shows that its text is toxic.
 CLEAR = 1.5
 #: Toxic texts that must be among those kept back from training.
 ENOUGH = 20
+#: Bytes that are read at once when scoring, and when learning on the driver.
 CHUNK = 1 << 21
+LEARN_CHUNK = 1 << 19
 
 SEPARATOR = np.ones(256, bool)
 SEPARATOR[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -109,7 +111,7 @@ def read_words(raw: np.ndarray, offsets: np.ndarray) -> Words:
 def read_all(raw: np.ndarray, offsets: np.ndarray) -> Words:
     """read_words of many rows, a chunk at a time, so that memory follows the chunk and the words rather than the bytes."""
     lows, parts = [], []
-    for low, high in row_chunks(offsets, CHUNK):
+    for low, high in row_chunks(offsets, LEARN_CHUNK):
         lows.append(low)
         parts.append(read_words(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]))
     if len(parts) < 2:
