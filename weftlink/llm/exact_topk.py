@@ -332,9 +332,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
 
     vectors as of quantised. Only vectors of a query's dimension are compared with
     it. A query id that occurs with several vectors is answered for each of them, in
-    one ranking; equal rows are one query. Fewer candidates give fewer rows, an
-    empty table none. Scores beyond a long's range are held at its ends, and are
-    equal there.
+    one ranking; equal rows are one query, but candidates of their own to others.
+    Fewer candidates give fewer rows, an empty table none. Scores beyond a long's
+    range are held at its ends, and are equal there. Other columns aren't read.
     """
     spark = vectors.sparkSession
     sizes = {r["dim"]: (r["n"], r["q"] or 0) for r in vectors.groupBy("dim").agg(F.count("*").alias("n"), F.sum(is_query.cast("int")).alias("q")).collect()}

@@ -287,7 +287,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     class_id is the smallest doc_id of the class. Equal texts, empty ones too, are
     one class; a text without words is otherwise near no other; a row with null
     text is a class of its own. Null ids get the smallest known id of their class,
-    else null. An empty table gives an empty result. Other columns aren't read.
+    else null. Texts of any length are read whole; repeated rows give repeated results.
+    An empty table gives an empty result. Other columns aren't read.
 
     A bucket, a leader's pairs and a class may each hold a large part of all rows:
     what is joined to them is joined by key and salt, a part of the key's rows.

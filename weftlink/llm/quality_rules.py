@@ -160,9 +160,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals, base_failed, kept) for every row of docs.
 
     Null text counts as empty and so fails the base. A null lang is a stratum of its
-    own. With no or few labels nothing is certified and kept is not base_failed.
-    Repeated rows count once each. Reads doc_id, text and lang, and doc_id and
-    quality of labels.
+    own. With no or few labels nothing is certified and kept is not base_failed. A
+    share that equals a cutoff isn't rejected. Texts of any length are read whole.
+    Repeated rows count once each; an empty table gives an empty result. Reads
+    doc_id, text and lang, and doc_id and quality of labels, whatever else there is.
     """
     rows = cut(signals(docs.select("doc_id", "text", stratum_of(docs).alias("stratum"))).drop("text"))
     found = certify(rows.join(good_ids(labels), "doc_id"))

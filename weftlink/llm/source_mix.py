@@ -192,9 +192,10 @@ def mix(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of docs.
 
     size counts words, 0 for null text; taken counts the words that the mix takes,
-    repeats too. A source without words has target 0. Rows that agree in id, source
-    and text are copies, each with its own place. Depends on the rows alone, so
-    reruns agree. Other columns aren't read.
+    repeats too. A source without words has target 0; a null source is one, after all
+    others. Rows that agree in id, source and text are copies, each with its own place.
+    Texts of any length are counted whole; an empty table gives an empty result.
+    Depends on the rows alone, so reruns agree. Other columns aren't read.
     """
     rows, sources, parts = pieces(docs)
     taken = parts.groupBy("rkey", "nth").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
