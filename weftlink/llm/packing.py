@@ -15,6 +15,7 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,8 @@ class Encoder:
         import json
 
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = plain
+        self.path, self.plain = path, plain
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = {c: b for b, c in _byte_letters().items()}
@@ -56,6 +55,15 @@ class Encoder:
         self.tokens = {v: k for k, v in ranks.items()}
         self.special = [] if plain else sorted(special)
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself; loaded by the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.encode_special_tokens = self.plain
+        return out
+
     def ends(self) -> np.ndarray:
         """Of each id, whether a sentence may end behind it."""
         out = np.zeros(max(self.tokens) + 2, bool)
