@@ -139,6 +139,7 @@ def test_single_precision_thresholds(spark):
 
 def test_skewed_keys(spark, monkeypatch):
     monkeypatch.setattr(blocking, "HEAVY", 3)
+    monkeypatch.setattr(blocking, "TOGETHER", 4)
     key = lambda name, k, v: [(f"{name}{i}", "x", "n1", v) for i in range(k)]
     schema = "entity_id string, country string, ktype string, kval string"
     s1 = spark.createDataFrame(key("a", 40, "hot") + key("b", 2, "cold") + key("c", 9, "gone"), schema)
@@ -146,6 +147,7 @@ def test_skewed_keys(spark, monkeypatch):
     active = blocking.active_keys(targets)
     assert active.count() == 8
     pairs = blocking.candidate_pairs(s1, active)
+    assert sorted(map(str, pairs.collect())) == sorted(map(str, blocking.candidate_pairs(s1, active, 4).collect()))
     assert pairs.count() == 40 * 5 + 2 * 3 and pairs.filter("shared_keys != 1").count() == 0
 
 

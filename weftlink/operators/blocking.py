@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions.normalize import listed, tokens
+from ..plans.stages import kept
 
 #: Postings that a key may have among the targets of a country: by the key type's first letters, else the other limit.
 NAME_LIMIT, OTHER_LIMIT = 250, 100
 NAME_TYPES = "^(n|core|compact)"
 TOP_K = 20
 KEY = ["country", "ktype", "kval"]
-#: Keys that are sent to every task at most, and rows of a key that stay together.
+#: Keys that are sent to every task at most, and records of a key that stay together.
 HEAVY = 10_000
+TOGETHER = 100_000
 NONE = "array<struct<ktype:string,kval:string>>"
 
 
@@ -100,27 +102,33 @@ def heaviest(counts: DataFrame, column: str, most: int = HEAVY) -> DataFrame:
 def active_keys(target_keys: DataFrame, name_limit: int = NAME_LIMIT, other_limit: int = OTHER_LIMIT) -> DataFrame:
     """Target keys less those with more postings than their limit.
 
-    The heaviest keys, HEAVY at most, go by a broadcast, so that their rows meet in no
-    task; what is left is removed by an ordinary anti join.
+    Over-frequent keys are counted first. Up to HEAVY of them go by a broadcast; of
+    more, the heaviest do, so that their rows meet in no task, and the others by an
+    ordinary anti join.
     """
-    hot = key_frequency(target_keys).filter(F.col("postings") > key_limit(name_limit, other_limit))
+    hot = kept(key_frequency(target_keys).filter(F.col("postings") > key_limit(name_limit, other_limit)))
+    if hot.count() <= HEAVY:
+        return target_keys.join(F.broadcast(hot.select(*KEY)), KEY, "left_anti")
     rest = target_keys.join(F.broadcast(heaviest(hot, "postings").select(*KEY)), KEY, "left_anti")
     return rest.join(hot.select(*KEY), KEY, "left_anti")
 
 
-def candidate_pairs(s1_keys: DataFrame, active: DataFrame) -> DataFrame:
+def candidate_pairs(s1_keys: DataFrame, active: DataFrame, records: int | None = None) -> DataFrame:
     """(country, s1_id, tid, shared_keys) for records and targets that share an active key.
 
-    An active key has few targets but may have any number of records. The rows of the
-    heaviest are dealt over parts of about HEAVY, and the targets repeated in each.
+    An active key has few targets but may have any number of records. Unless there are
+    at most TOGETHER records in all, the rows of the heaviest keys are dealt over parts
+    of about that many, and the targets repeated in each.
     """
     left, right = s1_keys.withColumnRenamed("entity_id", "s1_id"), active.withColumnRenamed("entity_id", "tid")
-    counts = left.groupBy(*KEY).agg(F.count("*").alias("n")).filter(F.col("n") > HEAVY)
-    parts = F.broadcast(heaviest(counts, "n").select(*KEY, F.ceil(F.col("n") / HEAVY).cast("int").alias("parts")))
-    n = F.coalesce("parts", F.lit(1))
-    left = left.join(parts, KEY, "left").withColumn("part", F.pmod(F.hash("s1_id"), n))
-    right = right.join(parts, KEY, "left").withColumn("part", F.explode(F.sequence(F.lit(0), n - 1)))
-    return left.drop("parts").join(right.drop("parts"), [*KEY, "part"]).groupBy("country", "s1_id", "tid").agg(F.count("*").alias("shared_keys"))
+    key = KEY
+    if records is None or records > TOGETHER:
+        counts = left.groupBy(*KEY).agg(F.count("*").alias("n")).filter(F.col("n") > TOGETHER)
+        parts = F.broadcast(heaviest(counts, "n").select(*KEY, F.ceil(F.col("n") / TOGETHER).cast("int").alias("parts")))
+        n, key = F.coalesce("parts", F.lit(1)), [*KEY, "part"]
+        left = left.join(parts, KEY, "left").withColumn("part", F.pmod(F.hash("s1_id"), n)).drop("parts")
+        right = right.join(parts, KEY, "left").withColumn("part", F.explode(F.sequence(F.lit(0), n - 1))).drop("parts")
+    return left.join(right, key).groupBy("country", "s1_id", "tid").agg(F.count("*").alias("shared_keys"))
 
 
 def top_candidates(pairs: DataFrame, k: int = TOP_K) -> DataFrame:

@@ -190,12 +190,12 @@ def target_assignment(spark, d):
 
 @query
 def matching_results(spark, d):
-    return pipeline.match(*fixtures.sources(spark, d), S2, S3).select("s1_id", "matched")
+    return pipeline.match(*fixtures.sources(spark, d), S2, S3, unique=True).select("s1_id", "matched")
 
 
 @query
 def singletons(spark, d):
-    return pipeline.match(*fixtures.sources(spark, d), S2, S3).filter("matched = ''").select("s1_id")
+    return pipeline.match(*fixtures.sources(spark, d), S2, S3, unique=True).filter("matched = ''").select("s1_id")
 
 
 def _counts(spark, d):
@@ -233,12 +233,12 @@ def run_totals(spark, d):
 
 @query
 def grid_global(spark, d):
-    return evaluate.best_global(fixtures.sources(spark, d)[0], fixtures.truth(spark, d), _scores(spark, d))
+    return evaluate.best_global(fixtures.sources(spark, d)[0], fixtures.truth(spark, d), stages.kept(_scores(spark, d)))
 
 
 @query
 def grid_source(spark, d):
-    return evaluate.best_by_source(fixtures.sources(spark, d)[0], fixtures.truth(spark, d), _scores(spark, d))
+    return evaluate.best_by_source(fixtures.sources(spark, d)[0], fixtures.truth(spark, d), stages.kept(_scores(spark, d)))
 
 
 def _learn(c: str = "s1_id"):

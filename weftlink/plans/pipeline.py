@@ -25,7 +25,7 @@ def pairs(s1: DataFrame, targets: DataFrame, k: int = blocking.TOP_K) -> DataFra
 def candidates(s1: DataFrame, targets: DataFrame, k: int = blocking.TOP_K) -> DataFrame:
     """Top candidates of normalised records among normalised targets."""
     active = blocking.active_keys(blocking.blocking_keys(targets))
-    return blocking.top_candidates(blocking.candidate_pairs(blocking.blocking_keys(s1), active), k)
+    return blocking.top_candidates(blocking.candidate_pairs(blocking.blocking_keys(s1), active, s1.count()), k)
 
 
 def pair_features(s1: DataFrame, targets: DataFrame, python: bool = False, k: int = blocking.TOP_K) -> DataFrame:
@@ -38,7 +38,7 @@ def scored(s1: DataFrame, targets: DataFrame, scorer: Callable[[DataFrame], Data
     return out.select("country", "s1_id", "tid", "s1_ordinal", "prob")
 
 
-def match(s1_records: DataFrame, target_records: DataFrame, s2: float = 0.70, s3: float = 0.75, scorer: Callable[[DataFrame], DataFrame] = scoring.linear, python: bool = False) -> DataFrame:
-    """(s1_id, ordinal, matched) for every reference record. Of targets that repeat an id in a country the last one counts."""
-    s1, targets = normalized(s1_records, last_of_each(target_records, IN_COUNTRY))
+def match(s1_records: DataFrame, target_records: DataFrame, s2: float = 0.70, s3: float = 0.75, scorer: Callable[[DataFrame], DataFrame] = scoring.linear, python: bool = False, unique: bool = False) -> DataFrame:
+    """(s1_id, ordinal, matched) for every reference record. Of targets that repeat an id in a country the last one counts; unique says that none does."""
+    s1, targets = normalized(s1_records, target_records if unique else last_of_each(target_records, IN_COUNTRY))
     return assign.match_lists(s1, assign.assign_targets(scored(s1, targets, scorer, python), s2, s3))
