@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from .operators.blocking import TOP_K
 from .plans import job
 
+#: Where record files are looked for, in this order.
 FOLDERS = ("dataset/test", "student_resource/dataset/test")
 
 

@@ -6,9 +6,9 @@ import json
 
 from pyspark.sql import SparkSession
 
+#: The head of a report, and the labels of metadata keys.
 TITLE = "BUSINESS ENTITY RESOLUTION"
 RULE = "=" * 60
-#: Metadata key: its label in the report.
 VALIDATION = {
     "validation_f05": "Validation Macro F0.5", "validation_precision": "Validation Precision", "validation_recall": "Validation Recall", "validation_f1": "Validation Macro F1",
     "candidate_recall": "Candidate Recall", "singleton_accuracy": "Singleton Accuracy", "false_positives": "False Positives", "false_negatives": "False Negatives",
